@@ -28,6 +28,8 @@ class Adapter:
         df = spark.read.parquet(f"{folder}/{self.table}.parquet")
         if self.where:
             df = df.where(self.where)
+        if self.table == "events":
+            df = df.selectExpr("*", f"{COUNTER} AS {K}")
         return df.selectExpr(
             *[f"{e.spark if isinstance(e, Both) else e} AS `{n}`" for n, e in self.columns.items()]
         )
@@ -37,7 +39,15 @@ class Adapter:
             f'{e.ansi if isinstance(e, Both) else e} AS "{n}"' for n, e in self.columns.items()
         )
         where = f" WHERE {self.where}" if self.where else ""
-        return f"(SELECT {columns} FROM {self.table}{where})"
+        table = self.table
+        if table == "events":
+            table = f"(SELECT *, {COUNTER} AS {K} FROM events)"
+        return f"(SELECT {columns} FROM {table}{where})"
+
+
+# The counter inside the events' JSON text, 0 to 99, as a column of its own.
+COUNTER = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+K = "counter"
 
 
 def text(expression: str) -> str:
@@ -64,8 +74,6 @@ def code_text(number: str) -> str:
     return f"concat('VN', lpad({text(f'{number} % 10000')}, 4, '0'))"
 
 
-# The counter inside the events' JSON text, 0 to 99.
-K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
 USER = text("user_id")
 DAY_FIRST = Both("date_format(ts, 'd/M/yyyy')", "strftime(ts, '%-d/%-m/%Y')")
 
@@ -84,8 +92,8 @@ LINES = Adapter(
         "item_id": "l_partkey",
         "location_id": "l_suppkey",
         "account_id": "l_linenumber",
-        "item_count": "CAST(-l_quantity AS DECIMAL(18,4))",
-        "net_amount": "CAST(-l_extendedprice AS DECIMAL(18,4))",
+        "item_count": Both("-l_quantity", "CAST(-l_quantity AS DECIMAL(18,4))"),
+        "net_amount": Both("-l_extendedprice", "CAST(-l_extendedprice AS DECIMAL(18,4))"),
     },
 )
 HEADERS = Adapter(

@@ -27,18 +27,19 @@ def single_series(daily: DataFrame, name: str = "all") -> DataFrame:
     return daily.withColumn("series", F.lit(name))
 
 
-def _whole(keys: Sequence[str]) -> WindowSpec:
+def _by_day(keys: Sequence[str]) -> WindowSpec:
     if not keys:
         raise ValueError("a series needs a key; see single_series")
-    return Window.partitionBy(*keys)
+    return Window.partitionBy(*keys).orderBy("trandate")
 
 
-def _by_day(keys: Sequence[str]) -> WindowSpec:
-    return _whole(keys).orderBy("trandate")
+def _whole(keys: Sequence[str]) -> WindowSpec:
+    """The full series, ordered all the same: every window then shares one sort."""
+    return _by_day(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _from_end(keys: Sequence[str]) -> Column:
-    """0 for the latest day, 1 for the one before, and so on; no second sort."""
+    """0 for the latest day, 1 for the one before, and so on."""
     return F.count(F.lit(1)).over(_whole(keys)) - F.row_number().over(_by_day(keys))
 
 

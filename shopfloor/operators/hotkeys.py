@@ -30,42 +30,45 @@ def _fingerprint(keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Fingerprints of heavy keys. Any set gives right results; a good one gives balance."""
+    """Fingerprints of heavy keys. Any set gives right results; a good one gives balance.
+
+    Null keys have a fingerprint like any other, so rows without a key, which
+    match nothing but all hash alike, are found and spread as well. Without hot
+    keys the joins below are plain ones.
+    """
 
     keys: tuple[str, ...]
     fingerprints: tuple[int, ...]
     splits: int = SPLITS
 
     def _is_hot(self) -> Column:
-        if not self.fingerprints:
-            return F.lit(False)
         return _fingerprint(self.keys).isin(*self.fingerprints)
 
     def spread(self, df: DataFrame) -> DataFrame:
-        """Tag each row of the large side with a split number.
+        """Tag each row of the large side with a split number, 0 for ordinary keys.
 
         The number comes from the row content and the input partition, so a
         retried task repeats it, and equal copies from different partitions
-        still spread. Rows with a null key match nothing and spread too.
+        still spread.
         """
-        has_null = F.lit(False)
-        for key in self.keys:
-            has_null = has_null | F.col(key).isNull()
+        if not self.fingerprints:
+            return df
         number = F.pmod(
             F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(self.splits)
         )
-        return df.withColumn(_SALT, F.when(has_null | self._is_hot(), number).otherwise(F.lit(0)).cast("int"))
+        return df.withColumn(_SALT, F.when(self._is_hot(), number).otherwise(F.lit(0)).cast("int"))
 
     def replicate(self, df: DataFrame) -> DataFrame:
         """Copy only the rows of hot keys, once per split."""
         if not self.fingerprints:
-            return df.withColumn(_SALT, F.lit(0))
+            return df
         numbers = F.when(self._is_hot(), F.sequence(F.lit(0), F.lit(self.splits - 1)))
         return df.withColumn(_SALT, F.explode(numbers.otherwise(F.array(F.lit(0)))))
 
     def left_join(self, spread: DataFrame, right: DataFrame, on: Sequence[str] | None = None) -> DataFrame:
         """LEFT join of a spread side; ``on`` must contain the hot keys."""
-        return spread.join(self.replicate(right), [*(on or self.keys), _SALT], "left")
+        salt = [_SALT] if self.fingerprints else []
+        return spread.join(self.replicate(right), [*(on or self.keys), *salt], "left")
 
 
 def find_hot_keys(

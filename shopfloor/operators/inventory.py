@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopfloor.functions.dates import days_before, local_day, month_start
-from shopfloor.operators.hotkeys import HotKeys, drop_split
+from shopfloor.operators.align import unite
 from shopfloor.schemas import ledger
 
 # Stock accounts and the document types that move stock.
@@ -42,20 +42,20 @@ def stock_movement(
     booked = lines.where(F.col("account_id").isin(*rule.accounts)).select(
         "transaction_id",
         *[F.coalesce(F.col(k), F.lit(0)).cast("bigint").alias(k) for k in ("location_id", "item_id")],
-        *[F.coalesce(ledger(F.col(m)), F.lit(0)).alias(m) for m in ("item_count", "net_amount")],
+        *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in ("item_count", "net_amount")],
     )
     return (
         booked.join(moved, "transaction_id")
         .groupBy("create_date", "location_id", "item_id")
-        .agg(*[F.sum(m).alias(m) for m in ("item_count", "net_amount")])
+        .agg(*[F.sum(ledger(F.col(m))).alias(m) for m in ("item_count", "net_amount")])
     )
 
 
 def created_from_parent(headers: DataFrame) -> DataFrame:
     """Each header with the header it was created from; null where there is none.
 
-    Headers without a parent match nothing; they are spread over the tasks
-    instead of meeting in the one that holds the null key.
+    Headers without a parent id match nothing. They go around the join, so that
+    they do not all meet in the task of the null key.
     """
     parents = headers.select(
         F.col("transaction_id").alias("created_from_id"),
@@ -64,8 +64,9 @@ def created_from_parent(headers: DataFrame) -> DataFrame:
         F.col("create_date").cast("date").alias("parent_date"),
     )
     children = headers.select("transaction_id", "tranid", "created_from_id")
-    nulls_only = HotKeys(("created_from_id",), ())
-    return drop_split(nulls_only.left_join(nulls_only.spread(children), parents)).select(
+    derived = F.col("created_from_id").isNotNull()
+    joined = children.where(derived).join(parents, "created_from_id", "left")
+    return unite(joined, children.where(~derived)).select(
         "transaction_id", "tranid", "created_from_id", "parent_tranid", "parent_type", "parent_date"
     )
 

@@ -125,13 +125,14 @@ def post_meta(posts: DataFrame, meta: DataFrame, post_type: str) -> DataFrame:
 
     Written as matches plus posts without a match. An outer join could neither
     broadcast the few chosen posts nor split one post with very many values;
-    the inner join can do both. The unmatched part reads only the id column.
+    the inner join can do both. The unmatched part reads only the id column,
+    reduced to distinct ids before it is moved.
     """
     chosen = posts.where(F.col("post_type") == post_type).select(
         "ID", F.col("post_name").alias("telephone"), day_text(F.col("post_date")).alias("post_date")
     )
     values = meta.select(F.col("post_id").alias("ID"), F.col("meta_value").alias("data"))
     matched = chosen.join(values, "ID")
-    with_meta = values.join(chosen.select("ID"), "ID", "left_semi").select("ID").distinct()
+    with_meta = values.select("ID").distinct()
     unmatched = chosen.join(with_meta, "ID", "left_anti").withColumn("data", F.lit(None).cast("string"))
     return matched.unionByName(unmatched).select("ID", "telephone", "data", "post_date")

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
