@@ -42,10 +42,12 @@ def first_calls(calls: DataFrame, delay: str = "1 day") -> DataFrame:
     """The batch dedup on a stream: first call per person, click id, campaign and day.
 
     A day is final once the watermark passes it. Being an aggregate it combines
-    copies before the shuffle and keeps one state entry per group.
+    copies before the shuffle and keeps one state entry per group. A watermark
+    needs a time with a zone; under the session zone UTC the wall clock stays.
     """
     return (
-        calls.withWatermark("created_at", delay)
+        calls.withColumn("created_at", F.col("created_at").cast("timestamp"))
+        .withWatermark("created_at", delay)
         .groupBy(
             F.window("created_at", "1 day").alias("day"),
             "customer_name", "customer_tel", "gclid", "campain",

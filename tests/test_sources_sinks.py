@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import pytest
+
+from shopfloor import schemas as S
+from shopfloor import session
+from shopfloor.plans import loads
+from shopfloor.sinks import export_sheet, load_audit, overwrite_by_day, overwrite_table
+from shopfloor.sources import preview, read_csv, read_sheets, read_table
+from shopfloor.sources.jdbc import Split, jdbc_options, table_options
+
+
+def test_csv_subset_stays_text(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("Name,Phone,Date\nan,0912,1/2/2020\nbinh,,\n")
+    df = read_csv(spark, str(tmp_path / "a.csv"), ["Name", "Phone", "Date"], ["Phone", "Name"])
+    assert rows(df) == [(None, "binh"), ("0912", "an")]
+    assert df.dtypes == [("Phone", "string"), ("Name", "string")]
+
+
+def test_csv_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("Phone,Name\n1,an\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path / "b.csv"), ["Name", "Phone"]).collect()
+
+
+def test_sheets_and_preview(spark, tmp_path, rows):
+    for name, body in {"Data": "Comp,Mall\na,M1\n", "Dim": "Location,Likes\nM1,5\n"}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(body)
+    sheets = read_sheets(spark, str(tmp_path), {"Data": ["Comp", "Mall"], "Dim": ["Location", "Likes"]})
+    assert rows(sheets["Data"]) == [("a", "M1")] and rows(sheets["Dim"]) == [("M1", "5")]
+    head, types = preview(spark.range(100))
+    assert head.count() == 5 and types == [("id", "bigint")]
+
+
+def test_jdbc_options(monkeypatch):
+    monkeypatch.setenv("SHOP_URL", "jdbc:test://host/{database}")
+    monkeypatch.setenv("SHOP_USER", "reader")
+    options = jdbc_options("shop", "landing")
+    assert options == {"url": "jdbc:test://host/landing", "user": "reader"}
+    full = table_options(options, "lines", Split("transaction_id", 0, 1000, 8), 500)
+    assert full["dbtable"] == "lines" and full["numPartitions"] == "8" and full["upperBound"] == "1000"
+    assert "partitionColumn" not in table_options(options, "lines", None, 500)
+    with pytest.raises(ValueError):
+        jdbc_options("shop")
+    with pytest.raises(ValueError):
+        jdbc_options("nothing_set")
+
+
+def test_conform(spark):
+    df = spark.createDataFrame([("2021-01-02", "T1", 5, 7, 1.5, 2.5, "x")],
+                               "trandate string, tranid string, customer_phone int, location_id int, item_count double, net_amount double, extra string")
+    got = S.conform(df, S.SALES_ORDER)
+    assert got.columns == S.SALES_ORDER.names
+    assert [f.dataType for f in got.schema] == [f.dataType for f in S.SALES_ORDER]
+    with pytest.raises(ValueError, match="net_amount|NET_AMOUNT"):
+        S.conform(df.drop("net_amount"), S.SALES_ORDER)
+
+
+def test_overwrite_and_audit(spark, tmp_path, rows):
+    labels = spark.createDataFrame([(1, "a", "b"), (2, "c", None)], S.TICKET_CUSTOM_FIELDS)
+    path = str(tmp_path / "labels")
+    overwrite_table(labels, path, S.TICKET_CUSTOM_FIELDS)
+    overwrite_table(labels.where("ticket_id = 2"), path, S.TICKET_CUSTOM_FIELDS)
+    assert rows(read_table(spark, path, S.TICKET_CUSTOM_FIELDS)) == [(2, "c", None)]
+    assert all(p.name.endswith(".snappy.parquet") for p in (tmp_path / "labels").glob("part-*"))
+    assert rows(load_audit(spark, {"labels": path})) == [("labels", 1, 3)]
+
+
+def test_one_file_per_day(spark, tmp_path):
+    leads = spark.range(0, 1000, 1, 8).selectExpr("date_add(date'2021-01-01', CAST(id % 3 AS INT)) AS date",
+                                                  *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in S.LEADS if f.name != "date"])
+    overwrite_by_day(leads, str(tmp_path / "leads"), S.LEADS, "date")
+    days = sorted((tmp_path / "leads").glob("date=*"))
+    assert [d.name for d in days] == ["date=2021-01-01", "date=2021-01-02", "date=2021-01-03"]
+    assert all(len(list(d.glob("part-*"))) == 1 for d in days)
+
+
+def test_export_cap(spark, tmp_path):
+    path = tmp_path / "sheet"
+    assert export_sheet(spark.range(9), str(path), 10) == 9
+    files = list(path.glob("part-*"))
+    assert len(files) == 1 and len(files[0].read_text().splitlines()) == 10
+    with pytest.raises(ValueError, match="more than 9 rows"):
+        export_sheet(spark.range(10), str(tmp_path / "other"), 10)
+    assert not (tmp_path / "other").exists()
+
+
+def test_exports(spark, data, tmp_path):
+    from shopfloor.catalog import adapters as A
+
+    n = loads.export_leads(A.ALL_SALES_CALLS.frame(spark, data), str(tmp_path / "leads"))
+    assert spark.read.csv(str(tmp_path / "leads"), header=True).count() == n == 7648
+    posts, meta = A.POSTS.frame(spark, data), A.POST_META.frame(spark, data)
+    n = loads.export_posts(posts, meta, "1-URGENT", str(tmp_path / "posts"))
+    back = spark.read.csv(str(tmp_path / "posts"), header=True)
+    assert back.columns == S.POST_EXPORT.names and back.count() == n == 11823
+    n = loads.export_training(A.RESPONSES.frame(spark, data), str(tmp_path / "training"))
+    back = spark.read.csv(str(tmp_path / "training"), header=True)
+    assert "position" not in back.columns and back.count() == n == 1500
+
+
+def test_shared_folder_is_read_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert session.shared_folder(spark) == configured
+    assert session.fresh_folder(spark, "x").startswith(configured)
+    df = session.materialize(spark.range(10), "numbers")
+    assert df.inputFiles()[0].removeprefix("file://").startswith(configured)
+    assert df.count() == 10
