@@ -11,7 +11,7 @@ from shopfloor import schemas
 from shopfloor.catalog import adapters as A
 from shopfloor.functions import dates, phone, text
 from shopfloor.operators import ads, forecast, inventory, leads, sales, stores, tickets, training
-from shopfloor.plans import loads
+from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,23 +425,18 @@ def forecast_metrics(spark, folder):
     return metrics.select(*SERIES, F.round("mse", -2).alias("mse"), F.round("mae", 6).alias("mae"))
 
 
-def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, forecast.Forecaster]:
-    series = materialize(_series(spark, folder), "daily-series")
-    return series, *loads.train_forecaster(series, SERIES)
-
-
 @_register
 def forecast_holdout(spark, folder):
-    _, windows, forecaster = _trained(spark, folder)
-    return forecast.forecast_holdout(windows, forecaster.model, SERIES)
+    series = materialize(_series(spark, folder), "daily-series")
+    return forecasting.train_and_save(series, SERIES, fresh_folder(spark, "forecaster"))
 
 
 @_register
 def forecast_latest(spark, folder):
-    series, _, forecaster = _trained(spark, folder)
+    series = materialize(_series(spark, folder), "daily-series")
     saved = fresh_folder(spark, "forecaster")
-    forecaster.save(saved)
-    return forecast.forecast_latest(series, forecast.Forecaster.load(spark, saved))
+    forecasting.train_and_save(series, SERIES, saved)
+    return forecasting.score_latest(spark, series, saved)
 
 
 # --- loads ----------------------------------------------------------------------
@@ -449,17 +444,14 @@ def forecast_latest(spark, folder):
 
 @_register
 def load_audit(spark, folder):
-    target = fresh_folder(spark, "warehouse")
+    sources = loads.Sources(
+        ledger=_ledger(spark, folder),
+        tickets=A.TICKETS.frame(spark, folder),
+        ticket_fields=A.CUSTOM_FIELDS.frame(spark, folder),
+        field_labels=_label_documents(spark, folder),
+        call_logs=A.CALLS.frame(spark, folder),
+        leads=lead_union(spark, folder),
+    )
     return loads.load_warehouse(
-        spark,
-        target,
-        {
-            "sales_order": loads.Load(sales_order(spark, folder), schemas.SALES_ORDER),
-            "tickets": loads.Load(ticket_projection(spark, folder), schemas.TICKETS),
-            "ticket_custom_fields": loads.Load(
-                custom_field_labels(spark, folder), schemas.TICKET_CUSTOM_FIELDS
-            ),
-            "call_logs": loads.Load(call_log_projection(spark, folder), schemas.CALL_LOGS),
-            "leads": loads.Load(lead_union(spark, folder), schemas.LEADS, day="date"),
-        },
+        spark, fresh_folder(spark, "warehouse"), loads.nightly_tables(sources, SALES_RULE)
     )

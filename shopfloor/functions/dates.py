@@ -16,6 +16,12 @@ def parse_day_first_with_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("d/M/yyyy[ H:m[:s]]")).cast("timestamp_ntz")
 
 
+def parse_month_first(text: Column) -> Column:
+    """ISO text or ``5/31/2020 10:20``; null for anything else."""
+    us = F.try_to_timestamp(text, F.lit("M/d/yyyy[ H:m[:s]]"))
+    return F.coalesce(F.try_to_timestamp(text), us).cast("timestamp_ntz")
+
+
 def parse_zoned_as_utc(text: Column) -> Column:
     """Text with a zone offset as the UTC wall clock (session zone UTC)."""
     return F.try_to_timestamp(text).cast("timestamp_ntz")

@@ -1,21 +1,25 @@
-"""Warehouse loads, sheet exports and the forecasting jobs."""
+"""Warehouse loads and sheet exports."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopfloor import schemas
-from shopfloor.operators import forecast, inventory, leads, training
-from shopfloor.session import materialize
+from shopfloor.functions.dates import parse_month_first
+from shopfloor.operators import inventory, leads, sales, tickets, training
 from shopfloor.sinks import export_sheet, load_audit, overwrite_by_day, overwrite_table
+from shopfloor.sources import read_csv
 
-# Lines of the target ranges, header included.
+# Lines of the target ranges, header included, and the headers of
+# the chat contact file.
 TRAINING_LINES = 50_000
 EXPORT_LINES = 1_000_000
+MESSAGE_HEADERS = {"Tên": "name", "Phone(raw)": "phone", "Date(raw)": "date"}
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,62 @@ def load_warehouse(spark: SparkSession, folder: str, tables: Mapping[str, Load])
     return load_audit(spark, paths)
 
 
+@dataclass(frozen=True)
+class LeadFiles:
+    """Landed CSV files of the funnel."""
+
+    messages: str
+    ad_forms: str
+    partner_forms: str
+    second_partner_forms: str
+    shop_forms: str
+
+
+def lead_funnel(
+    spark: SparkSession, files: LeadFiles, hotline_calls: DataFrame, desk_calls: DataFrame, hotline: str
+) -> DataFrame:
+    """All lead sources, from landed files and the two call tables, as one table."""
+
+    def forms(path: str, *extra: str) -> DataFrame:
+        df = read_csv(spark, path, ["Date", "Name", "Phone", "Email", *extra])
+        return df.withColumn("Date", parse_month_first(F.col("Date")))
+
+    return leads.lead_union(
+        calls=leads.hotline_calls(hotline_calls, hotline),
+        messages=read_csv(spark, files.messages, list(MESSAGE_HEADERS)).withColumnsRenamed(MESSAGE_HEADERS),
+        ad_forms=forms(files.ad_forms),
+        partner_forms=forms(files.partner_forms, "Gclid"),
+        second_partner_forms=forms(files.second_partner_forms, "Gclid"),
+        shop_forms=read_csv(spark, files.shop_forms, schemas.SHOP_FORM_CSV.names),
+        desk_calls=desk_calls,
+    )
+
+
+@dataclass(frozen=True)
+class Sources:
+    """Frames behind the nightly warehouse load."""
+
+    ledger: sales.Ledger
+    tickets: DataFrame
+    ticket_fields: DataFrame
+    field_labels: DataFrame
+    call_logs: DataFrame
+    leads: DataFrame
+
+
+def nightly_tables(sources: Sources, rule: sales.SalesRule = sales.SalesRule()) -> dict[str, Load]:
+    """The five tables of the nightly load."""
+    labels = [tickets.label_table(sources.field_labels, i) for i in (0, 1)]
+    fields = tickets.label_custom_fields(tickets.custom_field_codes(sources.ticket_fields), *labels)
+    return {
+        "sales_order": Load(sales.sales_order(sources.ledger, rule), schemas.SALES_ORDER),
+        "tickets": Load(tickets.ticket_projection(sources.tickets), schemas.TICKETS),
+        "ticket_custom_fields": Load(fields, schemas.TICKET_CUSTOM_FIELDS),
+        "call_logs": Load(tickets.call_log_projection(sources.call_logs), schemas.CALL_LOGS),
+        "leads": Load(sources.leads, schemas.LEADS, day="date"),
+    }
+
+
 def load_stock_snapshot(
     lines: DataFrame,
     headers: DataFrame,
@@ -63,18 +123,3 @@ def export_leads(calls: DataFrame, path: str) -> int:
 def export_posts(posts: DataFrame, meta: DataFrame, post_type: str, path: str) -> int:
     rows = schemas.conform(leads.post_meta(posts, meta, post_type), schemas.POST_EXPORT)
     return export_sheet(rows, path, EXPORT_LINES)
-
-
-def train_forecaster(
-    series: DataFrame, keys: Sequence[str]
-) -> tuple[DataFrame, forecast.Forecaster]:
-    """Split, scale, build windows and fit. Returns the windows and the fitted state.
-
-    The windows feed the fit and the predictions, so they are written once.
-    """
-    split = forecast.holdout_split(series, keys)
-    windows = materialize(
-        forecast.lag_windows(forecast.fit_and_scale(split, keys), keys), "lag-windows"
-    )
-    model = forecast.fit_model(windows)
-    return windows, forecast.Forecaster(model, forecast.scaler_fit(split, keys), tuple(keys))

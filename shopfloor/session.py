@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,11 @@ def build_session(app: str = "shopfloor", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"shopfloor-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -45,9 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="shopfloor-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -14,18 +15,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def read_csv(
-    spark: SparkSession, path: str, header: Sequence[str], columns: Sequence[str] | None = None
-) -> DataFrame:
-    """CSV with a header line; every column arrives as text.
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """CSV with a header line, all or some of its columns, every one as text.
 
-    ``header`` lists the file's columns (checked against the file), ``columns``
-    the ones to keep. Parsing dates and numbers is left to the caller, so a
-    phone keeps its leading 0 and no data pass is spent on inferring types.
+    Parsing dates and numbers is left to the caller, so a phone keeps its
+    leading 0 and no pass over the data is spent on guessing types. Files whose
+    header differs from the first one are an error, not silently shifted.
     """
-    schema = StructType([StructField(name, StringType()) for name in header])
-    df = spark.read.schema(schema).option("enforceSchema", False).csv(path, header=True)
-    return df.select(*[df[f"`{c}`"] for c in (columns or header)])
+    df = spark.read.option("enforceSchema", False).csv(path, header=True, inferSchema=False)
+    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -33,11 +31,9 @@ def read_json_documents(spark: SparkSession, path: str, schema: StructType) -> D
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_sheets(
-    spark: SparkSession, folder: str, sheets: dict[str, Sequence[str]]
-) -> dict[str, DataFrame]:
+def read_sheets(spark: SparkSession, folder: str, sheets: Sequence[str]) -> dict[str, DataFrame]:
     """A workbook landed as one CSV data set per sheet: ``<folder>/<sheet>``."""
-    return {name: read_csv(spark, f"{folder}/{name}", header) for name, header in sheets.items()}
+    return {name: read_csv(spark, f"{folder}/{name}") for name in sheets}
 
 
 def preview(df: DataFrame, rows: int = 5) -> tuple[DataFrame, list[tuple[str, str]]]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from shopfloor.operators import forecast as ops
-from shopfloor.plans.loads import train_forecaster
+from shopfloor.plans.forecasting import score_latest, train_and_save, train_forecaster
 
 KEYS = ["store"]
 START = date(2021, 1, 1)
@@ -134,14 +134,11 @@ def test_model_against_least_squares(spark):
 
 
 def test_saved_model_scores_the_latest_day(spark, series, tmp_path):
-    windows, trained = train_forecaster(series, KEYS)
-    trained.save(str(tmp_path / "state"))
-    loaded = ops.Forecaster.load(spark, str(tmp_path / "state"))
-    assert loaded.keys == ("store",)
-    latest = {r["store"]: r for r in ops.forecast_latest(series, loaded).collect()}
-    holdout = {
-        (r["store"], r["trandate"]): r["pred"] for r in ops.forecast_holdout(windows, trained.model, KEYS).collect()
-    }
+    state = str(tmp_path / "state")
+    predicted = train_and_save(series, KEYS, state)
+    holdout = {(r["store"], r["trandate"]): r["pred"] for r in predicted.collect()}
+    assert ops.Forecaster.load(spark, state).keys == ("store",)
+    latest = {r["store"]: r for r in score_latest(spark, series, state).collect()}
     for store in "ab":
         r = latest[store]
         assert r["prediction"] == pytest.approx(holdout[store, r["trandate"]], abs=1e-9)

@@ -9,6 +9,7 @@ from conftest import plan_of
 from shopfloor import schemas as S
 from shopfloor.functions import dates
 from shopfloor.operators.leads import hotline_calls, lead_dedup, lead_union, post_meta
+from shopfloor.plans.loads import LeadFiles, lead_funnel
 
 T = datetime(2021, 3, 4, 5, 6)
 D = T.date()
@@ -124,6 +125,43 @@ def test_dates(spark):
     assert got == [date(2020, 12, 31), date(2020, 2, 1), None, None, None]
 
 
+def test_month_first_dates(spark):
+    values = ["2020-05-04 10:20:30", "5/4/2020", "5/14/2020 9:05", "14/5/2020", "x", None]
+    df = spark.createDataFrame([(v,) for v in values], "d string")
+    got = [r[0] for r in df.select(dates.parse_month_first(F.col("d"))).collect()]
+    assert got == [
+        datetime(2020, 5, 4, 10, 20, 30), datetime(2020, 5, 4), datetime(2020, 5, 14, 9, 5), None, None, None,
+    ]
+
+
+def test_funnel_from_landed_files(spark, tmp_path, rows):
+    bodies = {
+        "messages": "Tên,Note,Phone(raw),Date(raw)\nan,hi,0912345678,31/12/2020\n",
+        "ad_forms": "Date,Name,Phone,Email,Extra\n2021-03-04 05:06:00,binh,912345678,b@x,1\n",
+        "partner_forms": "Date,Name,Phone,Email,Gclid\n3/4/2021,chi,84912345678,c@x,g1\n",
+        "second_partner_forms": "Gclid,Date,Name,Phone,Email\ng2,3/4/2021,dung,,d@x\n",
+        "shop_forms": "First Subscribed On,Phone Number,Email,gclid,initial_utm_medium,initial_utm_source\n"
+        "2021-03-04T01:00:00+07:00,0912345678,e@x,,cpc,web\n",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.csv").write_text(body)
+    files = LeadFiles(**{name: str(tmp_path / f"{name}.csv") for name in bodies})
+    calls = spark.createDataFrame([(T, "0912345678", "C", "1900")], S.HOTLINE_CALLS)
+    desk = spark.createDataFrame([(1, "f", "0912345678", None, None, None, None, T, "5")], S.SALES_CALLS)
+    got = rows(lead_funnel(spark, files, calls, desk, "1900"), "channel", "source", "phone", "dt", "gclid")
+    phone, ads = "0912345678", "LP Digital - FB Ads"
+    expected = [
+        ("Hotline", None, phone, T, None),
+        ("Messages", None, phone, datetime(2020, 12, 31), None),
+        ("Leads", ads, phone, T, None),
+        ("Leads", ads + " 3rd1", phone, datetime(2021, 3, 4), "g1"),
+        ("Leads", ads, None, datetime(2021, 3, 4), "g2"),
+        ("Leads", "LP Digital - Shopify Form", phone, datetime(2021, 3, 3, 18), None),
+        ("Leads", "Shopify Order", phone, T, None),
+    ]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_zoned_time_becomes_utc(spark):
     df = spark.createDataFrame([("2020-01-01T23:30:00+07:00",), ("2020-01-01T23:30:00Z",), ("x",)], "t string")
     got = [r[0] for r in df.select(dates.parse_zoned_as_utc(F.col("t"))).collect()]

@@ -12,22 +12,23 @@ from shopfloor.sources.jdbc import Split, jdbc_options, table_options
 
 def test_csv_subset_stays_text(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("Name,Phone,Date\nan,0912,1/2/2020\nbinh,,\n")
-    df = read_csv(spark, str(tmp_path / "a.csv"), ["Name", "Phone", "Date"], ["Phone", "Name"])
+    df = read_csv(spark, str(tmp_path / "a.csv"), ["Phone", "Name"])
     assert rows(df) == [(None, "binh"), ("0912", "an")]
     assert df.dtypes == [("Phone", "string"), ("Name", "string")]
 
 
-def test_csv_with_another_header_is_an_error(spark, tmp_path):
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Name,Phone\nan,1\n")
     (tmp_path / "b.csv").write_text("Phone,Name\n1,an\n")
     with pytest.raises(Exception, match="header"):
-        read_csv(spark, str(tmp_path / "b.csv"), ["Name", "Phone"]).collect()
+        read_csv(spark, str(tmp_path)).collect()
 
 
 def test_sheets_and_preview(spark, tmp_path, rows):
     for name, body in {"Data": "Comp,Mall\na,M1\n", "Dim": "Location,Likes\nM1,5\n"}.items():
         (tmp_path / name).mkdir()
         (tmp_path / name / "part.csv").write_text(body)
-    sheets = read_sheets(spark, str(tmp_path), {"Data": ["Comp", "Mall"], "Dim": ["Location", "Likes"]})
+    sheets = read_sheets(spark, str(tmp_path), ["Data", "Dim"])
     assert rows(sheets["Data"]) == [("a", "M1")] and rows(sheets["Dim"]) == [("M1", "5")]
     head, types = preview(spark.range(100))
     assert head.count() == 5 and types == [("id", "bigint")]
