@@ -414,9 +414,11 @@ ORACLE["forecast_report"] = f"""
     UNION ALL SELECT location_id, trandate, 'bridge', sales, NULL FROM p WHERE n <= 2
     UNION ALL SELECT location_id, trandate, 'latest', sales, round(prediction, 4) FROM p WHERE n = 1
 """
+_ERROR = "CAST(sales - prediction AS DECIMAL(19,6))"
 ORACLE["forecast_metrics"] = f"""
-    SELECT location_id, round(AVG((sales - prediction) * (sales - prediction)), -2) AS mse,
-           round(AVG(abs(sales - prediction)), 6) AS mae
+    SELECT location_id,
+           round(CAST(SUM({_ERROR} * {_ERROR}) AS DOUBLE) / COUNT(prediction), 2) AS mse,
+           CAST(SUM(abs({_ERROR})) AS DOUBLE) / COUNT(prediction) AS mae
     FROM ({_PREDICTED}) WHERE n <= 40 GROUP BY location_id
 """
 

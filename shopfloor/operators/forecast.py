@@ -134,10 +134,19 @@ def forecast_report(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def forecast_metrics(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean squared and mean absolute error per series."""
-    error = F.col("sales") - F.col("prediction")
+    """Mean squared and mean absolute error per series.
+
+    Errors are summed as exact decimals with six digits, so that the result
+    does not depend on the order in which tasks deliver them.
+    """
+    error = (F.col("sales") - F.col("prediction")).cast("decimal(18,6)")
+
+    def mean(total: Column) -> Column:
+        return F.sum(total).cast("double") / F.count(error)
+
     return predicted.groupBy(*keys).agg(
-        F.avg(error * error).alias("mse"), F.avg(F.abs(error)).alias("mae")
+        F.when(F.count(error) > 0, mean(error * error)).alias("mse"),
+        F.when(F.count(error) > 0, mean(F.abs(error))).alias("mae"),
     )
 
 
