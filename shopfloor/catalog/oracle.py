@@ -69,7 +69,11 @@ _MOVEMENT = f"""
       AND t.transaction_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')
     GROUP BY 1, 2, 3
 """
-ORACLE["stock_movement"] = _MOVEMENT
+ORACLE["stock_movement"] = f"""
+    SELECT create_date, location_id, item_id, CAST(item_count AS DOUBLE) AS item_count,
+           CAST(net_amount AS DOUBLE) AS net_amount
+    FROM ({_MOVEMENT})
+"""
 _RUNNING = """CAST(trunc(SUM({m}) OVER (PARTITION BY location_id, item_id ORDER BY create_date
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS BIGINT) AS {m}"""
 _BALANCE = ", ".join(_RUNNING.format(m=m) for m in ("item_count", "net_amount"))

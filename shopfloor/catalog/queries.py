@@ -71,28 +71,32 @@ def conform_schema(spark, folder):
 # --- inventory ------------------------------------------------------------------
 
 
-@_register
-def stock_movement(spark, folder):
-    moved = inventory.stock_movement(
+def _movement(spark: SparkSession, folder: str) -> DataFrame:
+    return inventory.stock_movement(
         A.LINES.frame(spark, folder), A.HEADERS.frame(spark, folder), STOCK_AS_OF, STOCK_RULE
     )
-    return moved
+
+
+@_register
+def stock_movement(spark, folder):
+    totals = {m: F.col(m).cast("double") for m in ("item_count", "net_amount")}
+    return _movement(spark, folder).withColumns(totals)
 
 
 @_register
 def stock_balance(spark, folder):
-    return inventory.stock_balance(stock_movement(spark, folder))
+    return inventory.stock_balance(_movement(spark, folder))
 
 
 @_register
 def stock_gaps(spark, folder):
-    return inventory.stock_gaps(stock_movement(spark, folder))
+    return inventory.stock_gaps(_movement(spark, folder))
 
 
 @_register
 def stock_snapshot(spark, folder):
     return schemas.conform(
-        inventory.stock_snapshot(stock_movement(spark, folder)), schemas.INVENTORY_VALUATION
+        inventory.stock_snapshot(_movement(spark, folder)), schemas.INVENTORY_VALUATION
     )
 
 

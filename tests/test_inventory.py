@@ -84,9 +84,9 @@ def test_gaps(movement, rows):
 
 def test_last_balance_is_the_total(spark, data):
     """The running sum ends at the group total, on the whole table."""
-    from shopfloor.catalog.queries import QUERIES
+    from shopfloor.catalog.queries import _movement
 
-    movement = QUERIES["stock_movement"](spark, data)
+    movement = _movement(spark, data)
     keys = ["location_id", "item_id"]
     last = stock_balance(movement).groupBy(*keys).agg(F.max_by("net_amount", "create_date").alias("last"))
     total = movement.groupBy(*keys).agg(F.sum("net_amount").cast("bigint").alias("total"))
