@@ -148,15 +148,9 @@ def _digits(column: str) -> str:
 def _normalized(column: str) -> str:
     d = _digits(column)
     return f"""CASE
-        WHEN length({d}) < 9 THEN NULL
-        WHEN length({d}) = 9 THEN '0' || {d}
-        WHEN length({d}) = 10 AND left({d}, 1) = '0' THEN {d}
-        WHEN length({d}) = 10 THEN '0' || {d}
-        WHEN length({d}) = 11 AND left({d}, 1) = '0' THEN {d}
-        WHEN length({d}) = 11 AND left({d}, 2) = '84' THEN '0' || substr({d}, 3)
-        WHEN length({d}) = 11 THEN '0' || {d}
-        WHEN length({d}) = 12 AND left({d}, 2) = '84' THEN '0' || substr({d}, 3)
-        ELSE NULL END"""
+        WHEN regexp_full_match({d}, '84[0-9]{{9,10}}') THEN '0' || substr({d}, 3)
+        WHEN regexp_full_match({d}, '0[0-9]{{9,10}}') THEN {d}
+        WHEN regexp_full_match({d}, '[0-9]{{9,11}}') THEN '0' || {d} END"""
 
 
 _CLEAN = f"(SELECT id, {_normalized('phone')} AS phone FROM {A.PHONES.sql()})"

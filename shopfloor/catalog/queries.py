@@ -326,11 +326,13 @@ def store_mall_join(spark, folder):
     return stores.store_mall_join(_stores(spark, folder), _malls(spark, folder))
 
 
+def _per_mall(spark: SparkSession, folder: str) -> DataFrame:
+    return stores.stores_per_mall(_stores(spark, folder), _malls(spark, folder))
+
+
 def _register_counts() -> None:
     def count(operator, key, min_above) -> Query:
-        return lambda spark, folder: operator(
-            _stores(spark, folder), _malls(spark, folder), key, min_above=min_above
-        )
+        return lambda spark, folder: operator(_per_mall(spark, folder), key, min_above=min_above)
 
     QUERIES["stores_by_brand"] = count(stores.stores_by, "Comp", None)
     QUERIES["stores_by_mall"] = count(stores.stores_by, "Location", 1)
@@ -350,7 +352,7 @@ def flag_filter(spark, folder):
 
 @_register
 def top_malls(spark, folder):
-    return stores.top_malls(_stores(spark, folder), _malls(spark, folder))
+    return stores.top_malls(_per_mall(spark, folder))
 
 
 @_register

@@ -23,8 +23,9 @@ def parse_month_first(text: Column) -> Column:
 
 
 def parse_zoned_as_utc(text: Column) -> Column:
-    """Text with a zone offset as the UTC wall clock (session zone UTC)."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """Text with a zone offset as the UTC wall clock, whatever the session zone."""
+    local = F.try_to_timestamp(text).cast("timestamp_ntz")
+    return F.convert_timezone(None, F.lit("UTC"), local)
 
 
 def day_text(moment: Column) -> Column:

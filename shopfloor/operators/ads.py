@@ -50,14 +50,16 @@ def tracked_actions(ads: DataFrame, actions: str, tracked: Mapping[str, str]) ->
     return ads.select(*REGION_KEY, F.explode(elements).alias("picked")).select(*REGION_KEY, "picked.*").distinct()
 
 
-def ads_report(ads: DataFrame, rankings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def ads_report(
+    ads: DataFrame, rankings: DataFrame, hot_rows: int = HOT_ROWS, partitions: int | None = None
+) -> DataFrame:
     """Every ad-region row with its actions, action values and rankings.
 
     All three are left joins on the ad key, so a row repeats once per
     combination of matching rows; that is the meaning of the report. Rows
     without a region match no actions. Ads with very many rows are split.
     """
-    hot = find_hot_keys(ads, AD_KEY, min_rows=hot_rows)
+    hot = find_hot_keys(ads, AD_KEY, min_rows=hot_rows, partitions=partitions)
     base = hot.spread(ads.select(*dict.fromkeys((*REGION_KEY, *_REPORT))))
     counts = tracked_actions(ads, "actions", ACTION_COUNTS)
     values = tracked_actions(ads, "action_values", ACTION_VALUES)

@@ -108,23 +108,27 @@ def tail_window(series: DataFrame, keys: Sequence[str], lags: int = LAGS) -> Dat
     )
 
 
-def forecast_report(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def forecast_report(
+    predicted: DataFrame, keys: Sequence[str], history: int | None = 6
+) -> DataFrame:
     """Rows of the report by segment: history, bridge and latest.
 
-    History is the six days before the latest, bridge the last two, latest the
-    last one with its prediction. A day may be in two segments.
+    History is the ``history`` days before the latest (None: all of them),
+    bridge the last two, latest the last one with its prediction. A day may be
+    in two segments.
     """
     back = F.col("from_end")
+    past = back >= 1 if history is None else back.between(1, history)
     segments = F.array_compact(
         F.array(
-            F.when(back.between(1, 6), F.lit("history")),
+            F.when(past, F.lit("history")),
             F.when(back <= 1, F.lit("bridge")),
             F.when(back == 0, F.lit("latest")),
         )
     )
     return (
         predicted.withColumn("from_end", _from_end(keys))
-        .where(back <= 6)
+        .where(past | (back <= 1))
         .withColumn("segment", F.explode(segments))
         .select(
             *keys, "trandate", "segment", "sales",

@@ -7,21 +7,24 @@ them. For those chains the hot keys are found up front and split by hand.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import math
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most heavy keys looked at. This bounds what reaches the driver.
-MAX_HOT_KEYS = 100
-# A key is hot above this share of all rows ...
-HOT_SHARE = 0.005
+# Most heavy keys looked at; this bounds what reaches the driver. A key beyond
+# them holds less than a thousandth of the rows.
+MAX_HOT_KEYS = 1000
+# A key is hot above this many average shuffle partitions ...
+HOT_PARTITIONS = 2
 # ... and this number of rows; below, one task handles the group easily.
 HOT_ROWS = 1_000_000
-SPLITS = 64
+MAX_SPLITS = 4096
 
-_SALT = "_split"
+_SPLIT = "_split"
 
 
 def _fingerprint(keys: Sequence[str]) -> Column:
@@ -30,19 +33,23 @@ def _fingerprint(keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Fingerprints of heavy keys. Any set gives right results; a good one gives balance.
+    """Fingerprints of heavy keys, by the number of splits they get.
 
-    Null keys have a fingerprint like any other, so rows without a key, which
-    match nothing but all hash alike, are found and spread as well. Without hot
-    keys the joins below are plain ones.
+    Any set gives right results; a good one gives balance. Null keys have a
+    fingerprint like any other, so rows without a key, which match nothing but
+    all hash alike, are found and spread as well. Without hot keys the joins
+    below are plain ones.
     """
 
     keys: tuple[str, ...]
-    fingerprints: tuple[int, ...]
-    splits: int = SPLITS
+    by_splits: Mapping[int, Sequence[int]] = field(default_factory=dict)
 
-    def _is_hot(self) -> Column:
-        return _fingerprint(self.keys).isin(*self.fingerprints)
+    def _splits(self) -> Column:
+        """Number of splits of a row's key; 1 for ordinary keys."""
+        number = F.lit(1)
+        for splits, fingerprints in self.by_splits.items():
+            number = F.when(_fingerprint(self.keys).isin(*fingerprints), F.lit(splits)).otherwise(number)
+        return number
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Tag each row of the large side with a split number, 0 for ordinary keys.
@@ -51,48 +58,54 @@ class HotKeys:
         retried task repeats it, and equal copies from different partitions
         still spread.
         """
-        if not self.fingerprints:
+        if not self.by_splits:
             return df
-        number = F.pmod(
-            F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(self.splits)
-        )
-        return df.withColumn(_SALT, F.when(self._is_hot(), number).otherwise(F.lit(0)).cast("int"))
+        content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+        return df.withColumn(_SPLIT, F.pmod(content, self._splits()).cast("int"))
 
     def replicate(self, df: DataFrame) -> DataFrame:
         """Copy only the rows of hot keys, once per split."""
-        if not self.fingerprints:
+        if not self.by_splits:
             return df
-        numbers = F.when(self._is_hot(), F.sequence(F.lit(0), F.lit(self.splits - 1)))
-        return df.withColumn(_SALT, F.explode(numbers.otherwise(F.array(F.lit(0)))))
+        return df.withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), self._splits() - 1)))
 
     def left_join(self, spread: DataFrame, right: DataFrame, on: Sequence[str] | None = None) -> DataFrame:
         """LEFT join of a spread side; ``on`` must contain the hot keys."""
-        salt = [_SALT] if self.fingerprints else []
-        return spread.join(self.replicate(right), [*(on or self.keys), *salt], "left")
+        split = [_SPLIT] if self.by_splits else []
+        return spread.join(self.replicate(right), [*(on or self.keys), *split], "left")
 
 
 def find_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    *,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
+    df: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_ROWS, partitions: int | None = None
 ) -> HotKeys:
     """One pass over the key columns, without a shuffle of rows.
 
     Every task fills a frequent-items sketch of fixed size; the driver gets at
-    most ``MAX_HOT_KEYS`` fingerprints.
+    most ``MAX_HOT_KEYS`` fingerprints. A key gets as many splits as average
+    shuffle partitions would hold its rows.
     """
-    keyed = df.select(_fingerprint(keys).alias("k"))
-    row = keyed.agg(
-        F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 100})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    floor = max(row["n"] * share, min_rows)
-    hot = sorted(item["item"] for item in (row["top"] or []) if item["count"] > floor)
-    return HotKeys(tuple(keys), tuple(hot), splits)
+    spark = df.sparkSession
+    if partitions is None:
+        partitions = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+        )
+    row = (
+        df.select(_fingerprint(keys).alias("k"))
+        .agg(
+            F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 100})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .first()
+    )
+    floor = max(row["n"] / partitions * HOT_PARTITIONS, min_rows)
+    by_splits = defaultdict(list)
+    for item in row["top"] or []:
+        if item["count"] > floor:
+            # Powers of two, so that many keys share few numbers of splits.
+            wanted = 2 ** math.ceil(math.log2(max(2, item["count"] / row["n"] * partitions)))
+            by_splits[min(wanted, MAX_SPLITS)].append(item["item"])
+    return HotKeys(tuple(keys), {splits: sorted(found) for splits, found in sorted(by_splits.items())})
 
 
 def drop_split(df: DataFrame) -> DataFrame:
-    return df.drop(_SALT)
+    return df.drop(_SPLIT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,8 +11,8 @@ def store_mall_join(stores: DataFrame, malls: DataFrame) -> DataFrame:
     return stores.join(malls, stores["Mall"] == malls["Location"], "left").drop("Mall")
 
 
-def _stores_per_mall(stores: DataFrame, malls: DataFrame) -> DataFrame:
-    """One row per brand and mall with its number of stores, joined to the mall.
+def stores_per_mall(stores: DataFrame, malls: DataFrame) -> DataFrame:
+    """Number of stores per brand and mall, joined to the mall: the base of all counts.
 
     Counting first means the join sees each brand-mall pair once, however many
     stores it has.
@@ -21,44 +21,28 @@ def _stores_per_mall(stores: DataFrame, malls: DataFrame) -> DataFrame:
     return store_mall_join(counted, malls)
 
 
-def _count_where(present: Column) -> Column:
-    return F.sum(F.when(present, F.col("n")).otherwise(0))
-
-
 def _report(grouped: DataFrame, key: str, measure: str, min_above: int | None) -> DataFrame:
     if min_above is not None:
         grouped = grouped.where(F.col(measure) > min_above)
     return grouped.orderBy(F.desc(measure), key)
 
 
-def stores_by(
-    stores: DataFrame, malls: DataFrame, key: str, *, min_above: int | None = None
-) -> DataFrame:
+def stores_by(per_mall: DataFrame, key: str, *, min_above: int | None = None) -> DataFrame:
     """Stores per ``Comp``, ``Location``, ``Province`` or ``Districts``, largest first.
 
     Null keys form no group. Per brand only stores in a listed mall count; per
     place only stores with a brand. ``min_above`` keeps larger counts only.
     """
     counted = F.col("Location") if key == "Comp" else F.col("Comp")
-    grouped = (
-        _stores_per_mall(stores, malls)
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(_count_where(counted.isNotNull()).alias("stores"))
-    )
+    number = F.sum(F.when(counted.isNotNull(), F.col("n")).otherwise(0))
+    grouped = per_mall.where(F.col(key).isNotNull()).groupBy(key).agg(number.alias("stores"))
     return _report(grouped, key, "stores", min_above)
 
 
-def malls_by(
-    stores: DataFrame, malls: DataFrame, key: str, *, min_above: int | None = None
-) -> DataFrame:
+def malls_by(per_mall: DataFrame, key: str, *, min_above: int | None = None) -> DataFrame:
     """Distinct malls that hold a store, per ``Province`` or ``Districts``."""
-    grouped = (
-        _stores_per_mall(stores, malls)
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count_distinct("Location").alias("malls"))
-    )
+    number = F.count_distinct("Location")
+    grouped = per_mall.where(F.col(key).isNotNull()).groupBy(key).agg(number.alias("malls"))
     return _report(grouped, key, "malls", min_above)
 
 
@@ -67,9 +51,9 @@ def allows_promotion(df: DataFrame) -> DataFrame:
     return df.where((F.col("Promotion") == 1) & (F.col("Special") == 1))
 
 
-def top_malls(stores: DataFrame, malls: DataFrame, k: int = 5) -> DataFrame:
+def top_malls(per_mall: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` malls with most stores; ties go to the smaller name."""
-    return stores_by(stores, malls, "Location").limit(k)
+    return stores_by(per_mall, "Location").limit(k)
 
 
 def likes_ranking(malls: DataFrame, above: float = 1e4) -> DataFrame:

@@ -69,7 +69,7 @@ def test_report_repeats_rows_per_combination(insights, rankings, rows):
 
 def test_split_ads_give_the_same_report(insights, rankings, rows):
     plain = ads.ads_report(insights, rankings)
-    split = ads.ads_report(insights, rankings, hot_rows=1)
+    split = ads.ads_report(insights, rankings, hot_rows=1, partitions=64)
     assert "_split" in plan_of(split) and "_split" not in plan_of(plain)
     assert rows(plain) == rows(split)
 
@@ -80,7 +80,8 @@ def test_split_report_on_whole_table(spark, data):
 
     base, ranked = A.ADS.frame(spark, data), _rankings(spark, data)
     plain = ads.ads_report(base, ranked)
-    split = ads.ads_report(base, ranked, hot_rows=1)
+    split = ads.ads_report(base, ranked, hot_rows=1, partitions=5000)
+    assert "_split" in plan_of(split)
     assert plain.exceptAll(split).count() == 0 == split.exceptAll(plain).count()
 
 
@@ -93,19 +94,35 @@ def test_order(insights, rankings):
 
 def test_hot_keys_and_spread(spark):
     df = spark.range(0, 9000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7))
+        .when(F.col("id") % 3 == 1, None)
+        .when(F.col("id") % 9 == 2, F.lit(8))
+        .otherwise(F.col("id"))
+        .alias("k"),
         F.lit("copy").alias("v"),
     )
-    hot = find_hot_keys(df, ["k"], min_rows=100, splits=8)
-    assert len(hot.fingerprints) == 2  # key 7 and the rows without a key
+    hot = find_hot_keys(df, ["k"], min_rows=100, partitions=24)
+    # A third each for key 7 and for the rows without a key, a ninth for key 8.
+    assert {n: len(found) for n, found in hot.by_splits.items()} == {4: 1, 8: 2}
     split = hot.spread(df)
     # Equal copies still spread, by input partition.
     assert split.where("k = 7").select("_split").distinct().count() > 2
-    assert split.where("k <> 7").where("_split <> 0").count() == 0
-    right = spark.createDataFrame([(7, "x"), (7, "y"), (2, "z"), (None, "n")], "k bigint, w string")
+    assert split.where("k NOT IN (7, 8) AND _split <> 0").count() == 0
+    assert split.where("k = 8").agg(F.max("_split")).first()[0] < 4
+    right = spark.createDataFrame([(7, "x"), (7, "y"), (8, "w"), (5, "z"), (None, "n")], "k bigint, w string")
     joined = hot.left_join(split, right).drop("_split")
-    assert joined.exceptAll(df.join(right, "k", "left")).count() == 0
-    assert joined.count() == 3000 * 2 + 3000 + 3000
+    plain = df.join(right, "k", "left")
+    assert joined.exceptAll(plain).count() == 0 == plain.exceptAll(joined).count()
+    assert joined.count() == 3000 * 2 + 6000
+
+
+def test_no_hot_keys_leave_the_join_plain(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    hot = find_hot_keys(df, ["k"], min_rows=1, partitions=8)
+    assert not hot.by_splits
+    assert hot.spread(df).columns == ["k"] and hot.replicate(df).columns == ["k"]
+    empty = find_hot_keys(df.limit(0), ["k"], min_rows=1)
+    assert not empty.by_splits
 
 
 def test_geo_cost(spark, rows):

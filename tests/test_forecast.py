@@ -93,6 +93,9 @@ def test_tail_and_report(spark):
     assert got["a", "latest"] == [(39.0, sum(range(9, 39)) / 30)]
     assert got["b", "history"] == [(0.0, None), (1.0, None), (2.0, None)]
     assert got["b", "latest"] == [(3.0, None)]
+    whole = ops.forecast_report(ops.mean_of_lags(df, KEYS), KEYS, history=None)
+    assert whole.where("store = 'a' AND segment = 'history'").count() == 39
+    assert whole.where("store = 'a' AND segment <> 'history'").count() == 3
 
 
 def test_metrics(spark):
