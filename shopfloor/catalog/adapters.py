@@ -8,6 +8,7 @@ holds a ``Both`` pair.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,12 @@ class Both:
     ansi: str
 
 
+@lru_cache(maxsize=64)
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table, its files listed and its schema read once per session."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 @dataclass(frozen=True)
 class Adapter:
     table: str
@@ -25,7 +32,7 @@ class Adapter:
     where: str | None = None
 
     def frame(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = spark.read.parquet(f"{folder}/{self.table}.parquet")
+        df = table(spark, folder, self.table)
         if self.where:
             df = df.where(self.where)
         if self.table == "events":
@@ -39,10 +46,10 @@ class Adapter:
             f'{e.ansi if isinstance(e, Both) else e} AS "{n}"' for n, e in self.columns.items()
         )
         where = f" WHERE {self.where}" if self.where else ""
-        table = self.table
-        if table == "events":
-            table = f"(SELECT *, {COUNTER} AS {K} FROM events)"
-        return f"(SELECT {columns} FROM {table}{where})"
+        rows = self.table
+        if rows == "events":
+            rows = f"(SELECT *, {COUNTER} AS {K} FROM events)"
+        return f"(SELECT {columns} FROM {rows}{where})"
 
 
 # The counter inside the events' JSON text, 0 to 99, as a column of its own.

@@ -307,8 +307,7 @@ def _stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _malls(spark: SparkSession, folder: str) -> DataFrame:
-    nation = spark.read.parquet(f"{folder}/nation.parquet")
-    region = spark.read.parquet(f"{folder}/region.parquet")
+    nation, region = A.table(spark, folder, "nation"), A.table(spark, folder, "region")
     places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("n_nationkey").alias("nationkey"),
         F.col("r_name").alias("Province"),
@@ -432,7 +431,8 @@ def forecast_metrics(spark, folder):
 @_register
 def forecast_holdout(spark, folder):
     series = materialize(_series(spark, folder), "daily-series")
-    return forecasting.train_and_save(series, SERIES, fresh_folder(spark, "forecaster"))
+    windows, trained = forecasting.train_forecaster(series, SERIES)
+    return forecast.forecast_holdout(windows, trained.model, SERIES)
 
 
 @_register
