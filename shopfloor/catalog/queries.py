@@ -430,8 +430,7 @@ def forecast_metrics(spark, folder):
 
 @_register
 def forecast_holdout(spark, folder):
-    series = materialize(_series(spark, folder), "daily-series")
-    windows, trained = forecasting.train_forecaster(series, SERIES)
+    windows, trained = forecasting.train_forecaster(_series(spark, folder), SERIES)
     return forecast.forecast_holdout(windows, trained.model, SERIES)
 
 

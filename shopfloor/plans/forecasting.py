@@ -26,7 +26,11 @@ def train_forecaster(
 
 
 def train_and_save(series: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """Fit on the series, save model and scaler, return the holdout predictions."""
+    """Fit on the series, save model and scaler, return the holdout predictions.
+
+    The series is read twice, for the windows and for the scaler; pass one that
+    is stored.
+    """
     windows, trained = train_forecaster(series, keys)
     trained.save(path)
     return forecast.forecast_holdout(windows, trained.model, keys)
