@@ -72,12 +72,13 @@ def ads_report(
 def order_report(report: DataFrame) -> DataFrame:
     """Newest day first, then names and region.
 
-    The remaining columns break ties: the order is total, and equal sort keys
-    do not have to share one range partition.
+    The remaining columns break ties, so equal sort keys do not have to share
+    one range partition; copies equal in every column split by where they were
+    made.
     """
     leading = ("date_start", "campaign_name", "adset_name", "ad_name", "region")
     rest = [c for c in report.columns if c not in leading]
-    return report.orderBy(F.desc("date_start"), *leading[1:], *rest)
+    return report.orderBy(F.desc("date_start"), *leading[1:], *rest, F.spark_partition_id())
 
 
 @dataclass(frozen=True)

@@ -85,6 +85,44 @@ def test_split_report_on_whole_table(spark, data):
     assert plain.exceptAll(split).count() == 0 == split.exceptAll(plain).count()
 
 
+def test_row_formula_on_whole_table(spark, data):
+    """Each base row repeats max(1, actions) x max(1, values) x max(1, rankings) times."""
+    from shopfloor.catalog import adapters as A
+    from shopfloor.catalog.queries import _rankings
+
+    base, ranked = A.ADS.frame(spark, data), _rankings(spark, data)
+
+    def matches(df, keys, name):
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    counts = matches(ads.tracked_actions(base, "actions", ads.ACTION_COUNTS), ads.REGION_KEY, "a")
+    values = matches(ads.tracked_actions(base, "action_values", ads.ACTION_VALUES), ads.REGION_KEY, "v")
+    ranks = matches(ranked, ads.AD_KEY, "r")
+    expected = (
+        base.join(counts, list(ads.REGION_KEY), "left")
+        .join(values, list(ads.REGION_KEY), "left")
+        .join(ranks, list(ads.AD_KEY), "left")
+        .agg(F.sum(F.expr("coalesce(a, 1) * coalesce(v, 1) * coalesce(r, 1)")))
+        .first()[0]
+    )
+    assert ads.ads_report(base, ranked).count() == expected > base.count()
+
+
+def test_equal_rows_are_split_by_the_sort(spark):
+    copies = spark.range(0, 20_000, 1, 8).select(
+        F.lit(D).alias("date_start"), *[F.lit("x").alias(c) for c in ("campaign_name", "adset_name", "ad_name", "region")]
+    )
+    ordered = ads.order_report(copies)
+    assert ordered.columns == copies.columns
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        sizes = [r["n"] for r in ordered.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("p").alias("n")).collect()]
+    finally:
+        spark.conf.set(key, "true")
+    assert len(sizes) > 1 and sum(sizes) == 20_000
+
+
 def test_order(insights, rankings):
     later = insights.withColumn("date_start", F.lit(date(2021, 3, 5)))
     got = ads.order_report(ads.ads_report(insights.union(later), rankings)).collect()

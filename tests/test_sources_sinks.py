@@ -77,6 +77,24 @@ def test_one_file_per_day(spark, tmp_path):
     assert all(len(list(d.glob("part-*"))) == 1 for d in days)
 
 
+def test_heavy_day_is_cut_into_files(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64KB")
+    try:
+        others = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in S.LEADS if f.name not in ("date", "name")]
+        leads = spark.range(0, 60_000, 1, 8).selectExpr(
+            "date_add(date'2021-01-01', CASE WHEN id % 3 = 0 THEN CAST(id % 20 AS INT) ELSE 0 END) AS date",
+            "CAST(xxhash64(id) AS STRING) AS name", *others)
+        overwrite_by_day(leads, str(tmp_path / "leads"), S.LEADS, "date")
+    finally:
+        spark.conf.set(key, before)
+    files = {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "leads").glob("date=*")}
+    assert files["date=2021-01-01"] > 3
+    assert sum(files.values()) < 8 * len(files)  # without bringing days together: one per task and day
+    assert spark.read.parquet(str(tmp_path / "leads")).count() == 60_000
+
+
 def test_export_cap(spark, tmp_path):
     path = tmp_path / "sheet"
     assert export_sheet(spark.range(9), str(path), 10) == 9
