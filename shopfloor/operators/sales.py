@@ -39,8 +39,12 @@ class Ledger:
     service_items: DataFrame
 
 
-def sold_lines(ledger_tables: Ledger, rule: SalesRule) -> DataFrame:
-    """Lines on revenue accounts whose item is a named stock item or a listed service.
+def _revenue_lines(ledger_tables: Ledger, rule: SalesRule) -> DataFrame:
+    return ledger_tables.lines.where(F.col("account_id").isin(*rule.accounts))
+
+
+def keep_sold(lines: DataFrame, ledger_tables: Ledger, rule: SalesRule) -> DataFrame:
+    """Lines whose item is a named stock item or a listed service.
 
     Both item tables are outer-joined in the source rule and kept by
     ``name IS NOT NULL OR id IN (...)``. With unique item ids that is a
@@ -50,9 +54,11 @@ def sold_lines(ledger_tables: Ledger, rule: SalesRule) -> DataFrame:
     """
     named = ledger_tables.inventory_items.where(F.col("displayname").isNotNull()).select("item_id")
     listed = ledger_tables.service_items.where(F.col("item_id").isin(*rule.services)).select("item_id")
-    return ledger_tables.lines.where(F.col("account_id").isin(*rule.accounts)).join(
-        named.unionByName(listed), "item_id", "left_semi"
-    )
+    return lines.join(named.unionByName(listed), "item_id", "left_semi")
+
+
+def sold_lines(ledger_tables: Ledger, rule: SalesRule) -> DataFrame:
+    return keep_sold(_revenue_lines(ledger_tables, rule), ledger_tables, rule)
 
 
 def _sales_headers(headers: DataFrame, rule: SalesRule) -> DataFrame:
@@ -112,15 +118,22 @@ def daily_sales(
 def daily_sales_orders(
     tables: Ledger, as_of: str, rule: SalesRule = SalesRule(), days: int = 30
 ) -> DataFrame:
-    """Amount and number of distinct orders per day, for the last ``days`` days."""
+    """Amount and number of distinct orders per day, for the last ``days`` days.
+
+    Few headers remain, so they are joined first: Spark broadcasts them, or
+    filters the lines by them before the shuffle if they are still too many.
+    """
     headers = (
         _sales_headers(tables.headers, rule)
         .where(F.col("trandate") >= days_before(as_of, days).cast("timestamp_ntz"))
         .select("transaction_id", "tranid", F.col("trandate").cast("date").alias("trandate"))
     )
+    recent = _revenue_lines(tables, rule).join(headers, "transaction_id")
     return (
-        _total_per_transaction(sold_lines(tables, rule))
-        .join(headers, "transaction_id")
+        keep_sold(recent, tables, rule)
         .groupBy("trandate")
-        .agg(_flipped(F.col("net_amount")).alias("sales"), F.count_distinct("tranid").alias("orders"))
+        .agg(
+            _flipped(ledger(F.col("net_amount"))).alias("sales"),
+            F.count_distinct("tranid").alias("orders"),
+        )
     )

@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Times arrive as the database shows them, without a zone.
+_WALL_CLOCK = {"preferTimestampNTZ": "true"}
+
+
 @dataclass(frozen=True)
 class Split:
     """Range split of a numeric or date column into parallel reads."""
@@ -38,7 +42,7 @@ def jdbc_options(prefix: str, database: str | None = None) -> dict[str, str]:
 
 
 def table_options(options: dict[str, str], table: str, split: Split | None, fetch: int) -> dict[str, str]:
-    extra = {"dbtable": table, "fetchsize": str(fetch)}
+    extra = {"dbtable": table, "fetchsize": str(fetch), **_WALL_CLOCK}
     if split:
         extra |= {
             "partitionColumn": split.column,
@@ -63,4 +67,5 @@ def read_jdbc_query(
     spark: SparkSession, options: dict[str, str], query: str, fetch: int = 10_000
 ) -> DataFrame:
     """The result of a query that the database runs. One task reads it, so keep it to reduced results."""
-    return spark.read.format("jdbc").options(**options, query=query, fetchsize=str(fetch)).load()
+    extra = {"query": query, "fetchsize": str(fetch), **_WALL_CLOCK}
+    return spark.read.format("jdbc").options(**options, **extra).load()
