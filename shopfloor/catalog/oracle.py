@@ -115,7 +115,7 @@ ORACLE["call_log_projection"] = f"""
 
 def _code(field: int) -> str:
     number = "TRY_CAST(custom_filed_value AS DECIMAL(20,4))"
-    return f"CAST(SUM(CASE WHEN custom_filed_id = {field} THEN {number} ELSE NULL END) AS BIGINT)"
+    return f"CAST(SUM(CASE WHEN custom_filed_id = {field} THEN {number} ELSE NULL END) AS DOUBLE)"
 
 
 ORACLE["eav_pivot"] = f"""

@@ -26,12 +26,13 @@ def custom_field_codes(
     """One row per ticket from (ticket, field, value) rows.
 
     Values are text; what is not a number counts as null. A field that repeats
-    adds up, as in the source rule.
+    adds up, as in the source rule. A sum with a fraction stays one and so has
+    no label.
     """
 
     def code(field: int, name: str):
         value = F.col("custom_filed_value").try_cast("decimal(20,4)")
-        return F.sum(F.when(F.col("custom_filed_id") == field, value)).cast("bigint").alias(name)
+        return F.sum(F.when(F.col("custom_filed_id") == field, value)).cast("double").alias(name)
 
     return fields.groupBy("ticket_id").agg(
         code(care, "trang_thai_cham_soc"), code(receive, "trang_thai_tiep_nhan")

@@ -47,11 +47,11 @@ def test_empty_and_missing_values(spark, rows):
 
 def test_label_lookup(spark, rows):
     codes = spark.createDataFrame(
-        [(1, 2, 7), (2, 1, None), (3, 99, 8)],
-        "ticket_id bigint, trang_thai_cham_soc bigint, trang_thai_tiep_nhan bigint",
+        [(1, 2.0, 7.0), (2, 1.0, None), (3, 99.0, 8.0), (4, 2.5, 7.0)],
+        "ticket_id bigint, trang_thai_cham_soc double, trang_thai_tiep_nhan double",
     )
     care = spark.createDataFrame([(1, "new"), (2, "called")], "id bigint, lable string")
     receive = spark.createDataFrame([(7, "taken")], "id bigint, lable string")
     assert rows(label_custom_fields(codes, care, receive)) == [
-        (1, "called", "taken"), (2, "new", None), (3, None, None),
+        (1, "called", "taken"), (2, "new", None), (3, None, None), (4, None, "taken"),
     ]
