@@ -434,3 +434,15 @@ ORACLE["load_audit"] = " UNION ALL ".join(
         FROM ({ORACLE[query]})"""
     for table, query, columns in _LOADED
 )
+
+# --- streams --------------------------------------------------------------------
+
+ORACLE["lead_append"] = f"""
+    SELECT * REPLACE ({_normalized('phone')} AS phone) FROM ({_BRANCHES[0]})
+"""
+# A day is finished once the latest call lies a day or more after its end.
+ORACLE["first_calls_append"] = f"""
+    SELECT * FROM ({ORACLE['lead_dedup']})
+    WHERE CAST(created_at AS DATE) + INTERVAL 1 DAY
+        <= (SELECT MAX(created_at) FROM {A.ALL_SALES_CALLS.sql()}) - INTERVAL 1 DAY
+"""

@@ -13,6 +13,7 @@ from shopfloor.functions import dates, phone, text
 from shopfloor.operators import ads, forecast, inventory, leads, sales, stores, tickets, training
 from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
+from shopfloor.streaming import lead_append as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -458,3 +459,24 @@ def load_audit(spark, folder):
     return loads.load_warehouse(
         spark, fresh_folder(spark, "warehouse"), loads.nightly_tables(sources, SALES_RULE)
     )
+
+
+@_register
+def lead_append(spark, folder):
+    """Hotline calls, landed raw and appended by the stream."""
+    base = fresh_folder(spark, "lead-append")
+    no_leads = spark.createDataFrame([], schemas.LEADS)
+    leads.unite(no_leads, hotline_calls(spark, folder)).write.parquet(f"{base}/landed")
+    streaming.append_leads(spark, f"{base}/landed", f"{base}/leads", f"{base}/state").awaitTermination()
+    return schemas.conform(spark.read.parquet(f"{base}/leads"), schemas.LEADS)
+
+
+@_register
+def first_calls_append(spark, folder):
+    """First call per person, click id, campaign and finished day, by the stream."""
+    base = fresh_folder(spark, "first-calls")
+    A.ALL_SALES_CALLS.frame(spark, folder).write.parquet(f"{base}/landed")
+    streaming.append_first_calls(
+        spark, f"{base}/landed", f"{base}/calls", f"{base}/state"
+    ).awaitTermination()
+    return schemas.conform(spark.read.schema(schemas.LEAD_EXPORT).parquet(f"{base}/calls"), schemas.LEAD_EXPORT)
