@@ -57,15 +57,17 @@ def ads_report(
 
     All three are left joins on the ad key, so a row repeats once per
     combination of matching rows; that is the meaning of the report. Rows
-    without a region match no actions. Ads with very many rows are split.
+    without a region match no actions. Ads with very many rows are split. The
+    rankings, whose key differs, come first: later the shuffle for them would
+    have to move the repeated rows.
     """
     hot = find_hot_keys(ads, AD_KEY, min_rows=hot_rows, partitions=partitions)
     base = hot.spread(ads.select(*dict.fromkeys((*REGION_KEY, *_REPORT))))
     counts = tracked_actions(ads, "actions", ACTION_COUNTS)
     values = tracked_actions(ads, "action_values", ACTION_VALUES)
-    joined = hot.left_join(base, counts, REGION_KEY)
+    joined = hot.left_join(base, rankings.select(*AD_KEY, *_RANKINGS))
+    joined = hot.left_join(joined, counts, REGION_KEY)
     joined = hot.left_join(joined, values, REGION_KEY)
-    joined = hot.left_join(joined, rankings.select(*AD_KEY, *_RANKINGS))
     return drop_split(joined).select(*_REPORT, *ACTION_COUNTS, *ACTION_VALUES, *_RANKINGS)
 
 
