@@ -69,7 +69,7 @@ def test_report_repeats_rows_per_combination(insights, rankings, rows):
 
 def test_split_ads_give_the_same_report(insights, rankings, rows):
     plain = ads.ads_report(insights, rankings)
-    split = ads.ads_report(insights, rankings, hot_rows=1, partitions=64)
+    split = ads.ads_report(insights, rankings, find_hot_keys(insights, ads.AD_KEY, min_rows=1, partitions=64))
     assert "_split" in plan_of(split) and "_split" not in plan_of(plain)
     assert rows(plain) == rows(split)
 
@@ -80,7 +80,7 @@ def test_split_report_on_whole_table(spark, data):
 
     base, ranked = A.ADS.frame(spark, data), _rankings(spark, data)
     plain = ads.ads_report(base, ranked)
-    split = ads.ads_report(base, ranked, hot_rows=1, partitions=5000)
+    split = ads.ads_report(base, ranked, find_hot_keys(base, ads.AD_KEY, min_rows=1, partitions=5000))
     assert "_split" in plan_of(split)
     assert plain.exceptAll(split).count() == 0 == split.exceptAll(plain).count()
 
