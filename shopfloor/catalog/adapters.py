@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -20,9 +21,14 @@ class Both:
 
 
 @lru_cache(maxsize=64)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table, its files listed and its schema read once per session."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; its schema is looked up once per session, its files each time."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 @dataclass(frozen=True)
