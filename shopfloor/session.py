@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@lru_cache
+def _package_archive(application: str) -> str:
+    package = Path(__file__).resolve().parent
+    path = f"{_local_folder(application)}/{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let tasks that run Python import this package.
+
+    Spark sends the archive from the driver to every executor, those that join
+    later included. Done once per application.
+    """
+    context = spark.sparkContext
+    name = Path(_package_archive(context.applicationId)).name
+    if not any(f.rsplit("/", 1)[-1] == name for f in context.listFiles):
+        context.addPyFile(_package_archive(context.applicationId))
