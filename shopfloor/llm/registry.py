@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import simhash
+from shopfloor.llm import bitplanes, packing, simhash
 from shopfloor.session import ship_package
 
 
@@ -23,8 +23,30 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.tokenized_pieces(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digests).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def op8_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    found = bitplanes.round_trip(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_bit_planes": op8_bit_planes,
 }
 
 ORACLE: dict[str, str] = {}
