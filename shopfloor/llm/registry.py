@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, packing, simhash
+from shopfloor.llm import bitplanes, decontaminate, packing, simhash
 from shopfloor.session import ship_package
 
 
@@ -23,6 +23,16 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def _tokenizer(name: str) -> str:
     """Place of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -45,8 +55,45 @@ def op8_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bit_planes": op8_bit_planes,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION = rf"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT item_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_at AS (
+    SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+    FROM item WHERE len(w) > 0
+), win AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS phrase FROM item_at
+), doc_at AS (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n
+), hit AS (
+    SELECT d.doc_id, d.i, d.n, win.item_id
+    FROM (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS phrase FROM doc_at) AS d
+    JOIN win ON win.phrase = d.phrase AND win.n = d.n
+), covered AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hit) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": _DECONTAMINATION,
+}
