@@ -176,7 +176,7 @@ def write_ids(
         stream, doc_ids = None, []
         for batch in batches:
             if stream is None:
-                stream = files.open_output_stream(_file_system(name)[1])
+                stream = files.open_output_stream(_file_system(name)[1], compression=None)
                 writer = PlaneWriter(stream, block_ids, planes)
             doc_ids.append(batch.column("doc_id"))
             for text in batch.column("text"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, decontaminate, packing, simhash
+from shopfloor.llm import bitplanes, decontaminate, packing, simhash, warc
 from shopfloor.session import ship_package
 
 
@@ -53,11 +53,17 @@ def op8_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bit_planes": op8_bit_planes,
+    "op9_warc_bundles": op9_warc_bundles,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -94,6 +100,23 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Twenty bits of the SHA-1, five hex digits, are four letters of base32.
+_WARC = """
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), first AS (
+    SELECT html, min(page_id) AS original FROM page GROUP BY html
+)
+SELECT page_id, strlen(html) AS payload_bytes,
+    list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)),
+        'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM page JOIN first USING (html)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
+    "op9_warc_bundles": _WARC,
 }
