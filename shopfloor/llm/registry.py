@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, chat, decontaminate, packing, simhash, warc
+from shopfloor.llm import bitplanes, chat, decontaminate, packing, secrets, simhash, warc
 from shopfloor.session import materialize, ship_package
 
 
@@ -83,6 +83,21 @@ def op9_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, folder, "documents"))
+
+    def number(kind: str) -> Column:
+        wanted = secrets.KINDS.index(kind)
+        return F.size(F.filter("known", lambda s: s["kind"] == wanted)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.span_names(F.col("known")).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_names(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
@@ -90,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bit_planes": op8_bit_planes,
     "op9_warc_bundles": op9_warc_bundles,
+    "op10_secrets": op10_secrets,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
