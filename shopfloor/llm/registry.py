@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, chat, decontaminate, packing, secrets, simhash, warc
+from shopfloor.llm import bitplanes, chat, decontaminate, packing, secrets, simhash, toxicity, warc
 from shopfloor.session import materialize, ship_package
 
 
@@ -58,6 +58,14 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = toxicity.learn(documents, _table(spark, folder, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def _tokenizer(name: str) -> str:
     """Place of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -102,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bit_planes": op8_bit_planes,
     "op9_warc_bundles": op9_warc_bundles,
