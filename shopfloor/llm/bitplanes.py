@@ -3,7 +3,7 @@
 A file holds the ids of whole documents, one after the other. They are cut into
 blocks of a fixed number of ids. A block is transposed, so that the first plane
 holds bit (or byte) 0 of all its ids, the next one bit 1, and so on; each plane
-is one zstandard frame. Layout, all numbers little-endian:
+is one zstandard frame, or nothing where its whole byte is zero. Layout, all numbers little-endian:
 
     magic (8 bytes)
     planes of block 0, planes of block 1, ...
@@ -37,22 +37,32 @@ _TRAILER = struct.Struct("<6Q8s")
 
 
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
-    """Transpose a block of uint32 ids into 32 bit planes or 4 byte planes."""
+    """Transpose a block of uint32 ids into 32 bit planes or 4 byte planes; empty for bytes that are all zero."""
     octets = ids.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4)
-    if planes == 4:
-        return [octets[:, i].tobytes() for i in range(4)]
-    bits = np.unpackbits(octets, axis=1, bitorder="little")
-    return [np.packbits(bits[:, i], bitorder="little").tobytes() for i in range(32)]
+    found = []
+    for i in range(4):
+        column = octets[:, i]
+        if not column.any():
+            found += [b""] * (planes // 4)
+        elif planes == 4:
+            found.append(column.tobytes())
+        else:
+            found += [np.packbits(column & np.uint8(1 << bit), bitorder="little").tobytes() for bit in range(8)]
+    return found
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     """The ids of a block from its planes."""
-    if len(planes) == 4:
-        octets = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
-    else:
-        bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n, bitorder="little") for p in planes], axis=1)
-        octets = np.packbits(bits, axis=1, bitorder="little")
-    return np.ascontiguousarray(octets).view("<u4").reshape(-1)
+    octets = np.zeros((n, 4), dtype=np.uint8)
+    for i, plane in enumerate(planes):
+        if not plane:
+            continue
+        if len(planes) == 4:
+            octets[:, i] = np.frombuffer(plane, np.uint8)
+        else:
+            bits = np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little")
+            octets[:, i // 8] |= bits << np.uint8(i % 8)
+    return octets.view("<u4").reshape(-1)
 
 
 class PlaneWriter:
@@ -62,7 +72,7 @@ class PlaneWriter:
         import zstandard
 
         self._file, self._block_ids, self._planes = file, block_ids, planes
-        self._pack = zstandard.ZstdCompressor(level=3).compress
+        self._pack = zstandard.ZstdCompressor(level=1).compress
         self._waiting: list[np.ndarray] = []
         self._n_waiting = self.n_ids = 0
         self._index: list[int] = []
@@ -74,7 +84,7 @@ class PlaneWriter:
         self._at += len(data)
 
     def _flush(self, ids: np.ndarray) -> None:
-        packed = [self._pack(p) for p in to_planes(ids, self._planes)]
+        packed = [self._pack(p) if p else b"" for p in to_planes(ids, self._planes)]
         self._index += [len(ids), *map(len, packed)]
         self._write(b"".join(packed))
 
@@ -124,7 +134,7 @@ class PlaneReader:
         self._file.seek(int(self._offsets[i]))
         data = self._file.read(int(self._offsets[i + 1] - self._offsets[i]))
         ends = np.cumsum(self._sizes[i])
-        planes = [self._unpack(data[e - s : e]) for s, e in zip(self._sizes[i], ends)]
+        planes = [self._unpack(data[e - s : e]) if s else b"" for s, e in zip(self._sizes[i], ends)]
         return from_planes(planes, int(self._counts[i]))
 
     def ids(self, start: int, stop: int) -> np.ndarray:
@@ -224,7 +234,9 @@ def read_ids(files: DataFrame) -> DataFrame:
                 with system.open_input_file(inner) as stream:
                     yield from _document_batches(PlaneReader(stream, stream.size()), start, doc_ids)
 
-    return placed.select("path", "before", "doc_ids").repartition("path").mapInArrow(
+    # The rows are few and small, the files behind them are not: a task each.
+    tasks = placed.repartitionByRange(max(1, files.count()), "shard")
+    return tasks.select("path", "before", "doc_ids").mapInArrow(
         read, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary"
     )
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from functools import lru_cache
 
 #: Words one task remembers in each of two generations; bounds its memory, never changes an id.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 # Fixed value: how byte-level pre-tokenizers cut a text that names no pattern of its own.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -22,7 +22,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Remembered(dict):
-    """Piece -> its ids as little-endian uint32, asked of the model when first seen.
+    """Word or piece -> its ids as little-endian uint32, asked of the model when first seen.
 
     Pieces not used for a generation are forgotten.
     """
@@ -35,18 +35,17 @@ class _Remembered(dict):
         if len(self) >= REMEMBERED:
             self._older = dict(self)
             self.clear()
-        ids = self._older.get(piece)
-        self[piece] = ids = self._encode(piece) if ids is None else ids
+        ids = self[piece] = self._older[piece] if piece in self._older else self._encode(piece)
         return ids
 
 
 class WordEncoder:
-    """Encodes whole texts piece by piece; equal to encoding each text at once.
+    """Encodes whole texts word by word; equal to encoding each text at once.
 
-    For tokenizers of the byte-level kind: a text is normalized, cut by the
-    tokenizer's own pattern, and every piece is given to the library's model.
-    Only the repeated work on equal pieces is saved. Strings of control tokens
-    inside a text are ordinary text.
+    For tokenizers of the byte-level kind. What stands between two single spaces
+    is cut and encoded without regard to the rest, so only words not seen before
+    are normalized, cut by the tokenizer's own pattern and given to the library's
+    model. Strings of control tokens inside a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -55,24 +54,51 @@ class WordEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            steps = json.load(file)["pre_tokenizer"]
-        patterns = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", [steps]) if "pattern" in s]
+            described = json.load(file)
+        steps = described["pre_tokenizer"].get("pretokenizers", [described["pre_tokenizer"]])
+        normalizers = described["normalizer"] or {}
+        kinds = {n["type"] for n in normalizers.get("normalizers", [normalizers]) if n}
+        patterns = [s["pattern"]["Regex"] for s in steps if "pattern" in s]
         self._cut = regex.compile(patterns[0] if patterns else BYTE_LEVEL_PATTERN).findall
         self._normalizer, self._model = tokenizer.normalizer, tokenizer.model
+        # Some tokenizers keep what the pattern finds and drop all white space.
+        self._spaceless = any(s.get("invert") and s.get("behavior") == "Removed" for s in steps)
+        # In ASCII words these normalizers do no more than lower-case.
+        self._lowers = "Lowercase" in kinds and kinds <= {"NFC", "Replace", "Lowercase"} and self._spaceless
         self._letters = _byte_letters()
-        self._ids = _Remembered(self._piece)
+        self._pieces = _Remembered(self._piece)
+        self._words = _Remembered(self._whole if self._spaceless else self._after_space)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self._letters)
         return array("I", [token.id for token in self._model.tokenize(letters)]).tobytes()
 
+    def _whole(self, text: str) -> bytes:
+        if self._lowers and text.isascii():
+            text = text.lower()
+        elif self._normalizer:
+            text = self._normalizer.normalize_str(text)
+        return b"".join(map(self._pieces.__getitem__, self._cut(text)))
+
+    def _after_space(self, word: str) -> bytes | None:
+        """Ids of a word and the space before it; None where white space runs on beside that space."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        return self._whole(" " + word)
+
     def encode(self, text: str | None) -> bytes:
         """Ids of one text as little-endian uint32; null and empty give none."""
         if not text:
             return b""
-        if self._normalizer:
-            text = self._normalizer.normalize_str(text)
-        return b"".join(map(self._ids.__getitem__, self._cut(text)))
+        if self._spaceless:
+            for space in "\n\t\r":
+                text = text.replace(space, " ")
+            return b"".join(map(self._words.__getitem__, text.split(" ")))
+        first, *others = text.split(" ")
+        ids = list(map(self._words.__getitem__, others))
+        if None in ids or not first or first[-1].isspace():
+            return self._whole(text)
+        return self._whole(first) + b"".join(ids)
 
     def encode_all(self, texts: Iterable[str | None]) -> list[bytes]:
         return [self.encode(text) for text in texts]
