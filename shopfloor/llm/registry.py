@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, chat, decontaminate, packing, secrets, simhash, toxicity, warc
+from shopfloor.llm import bitplanes, chat, decontaminate, packing, repeats, secrets, simhash, toxicity, warc
 from shopfloor.session import materialize, ship_package
 
 
@@ -33,6 +33,16 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_radix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 #: A conversation that speaks in control strings, formatted along with the others.
 _TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -109,6 +119,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op4_radix_dedup": op4_radix_dedup,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
@@ -188,6 +199,7 @@ FROM page JOIN first USING (html)
 
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
+    "op4_radix_dedup": op4_radix_dedup,
     "op5_chat_formatting": _CHAT,
     "op9_warc_bundles": _WARC,
 }
