@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, chat, decontaminate, packing, repeats, secrets, simhash, toxicity, warc
+from shopfloor.llm import bitplanes, caps, chat, decontaminate, packing, repeats, secrets, simhash, toxicity, warc
 from shopfloor.session import materialize, ship_package
 
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_spherical_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -117,6 +121,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spherical_caps": op1_spherical_caps,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op4_radix_dedup": op4_radix_dedup,
