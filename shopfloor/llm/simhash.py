@@ -139,11 +139,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their group, once each.
+    """The rows and columns of ``docs`` whose doc_id is the smallest of their group.
 
-    Rows without a doc_id cannot be told apart by it and stay.
+    Of rows that repeat doc_id and text one stays. Rows without a doc_id all stay,
+    for no id could name the one to keep. An empty table gives no rows.
     """
     found = near_duplicates(docs, shingle, max_bits)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return whole.unionByName(docs.where("doc_id IS NULL"))
+    whole = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    return whole.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
