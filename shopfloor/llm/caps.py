@@ -186,12 +186,14 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         label = fresh
 
 
-def _compare_large(node, copies, unit, own, side, filter_, threshold):
+def _compare_large(node, copies, unit, own, side, key, threshold):
     """Links of one filter's piece pair: ``node, links, peer`` rows, one per vector at most."""
+    filter_, one, two = key
     linked = (unit @ unit.T >= threshold) & ~_earlier_shared(own, filter_)
     np.fill_diagonal(linked, False)
-    # Of two different pieces only the pairs across count; each piece has its own turn.
-    linked &= (side[:, None] != side[None, :]) | (side.min() == side.max())
+    if one != two:
+        # Only the pairs across count; each piece has a turn with itself.
+        linked &= side[:, None] != side[None, :]
     links = linked @ copies
     root = _roots(linked)
     some = np.flatnonzero(links)
@@ -199,9 +201,9 @@ def _compare_large(node, copies, unit, own, side, filter_, threshold):
 
 
 def _compare_small(rows, threshold):
-    """The same for many small filters in one sweep; ``rows`` are grouped by filter."""
-    node, copies, unit, own, filter_ = rows
-    starts = np.flatnonzero(np.concatenate([[True], filter_[1:] != filter_[:-1]]))
+    """The same for many small filters or pieces in one sweep; ``rows`` are ordered by ``group``."""
+    node, copies, unit, own, filter_, group = rows
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     sizes = np.diff(np.append(starts, len(filter_)))
     later = np.repeat(starts + sizes, sizes) - np.arange(len(filter_)) - 1
     a = np.repeat(np.arange(len(filter_)), later)
@@ -252,11 +254,12 @@ def _links(members: DataFrame, threshold: float) -> DataFrame:
         small = np.repeat((sizes <= SMALL) & (keys[starts, 1] == keys[starts, 2]), sizes)
         if small.any():
             at = np.flatnonzero(small)
-            found.append(_compare_small((node[at], copies[at], unit[at], [own[i] for i in at], keys[at, 0]), threshold))
+            group = np.repeat(np.arange(len(starts)), sizes)[at]
+            found.append(_compare_small((node[at], copies[at], unit[at], [own[i] for i in at], keys[at, 0], group), threshold))
         for start, size in zip(starts, sizes):
             if not small[start]:
                 at = slice(start, start + size)
-                found.append(_compare_large(node[at], copies[at], unit[at], own[at], side[at], keys[start, 0], threshold))
+                found.append(_compare_large(node[at], copies[at], unit[at], own[at], side[at], keys[start], threshold))
         columns = [np.concatenate(c).astype(np.int64) for c in zip(*found)]
         yield pa.record_batch({k: pa.array(v) for k, v in zip(("node", "links", "peer"), columns)})
 
