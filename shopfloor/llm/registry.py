@@ -204,7 +204,6 @@ FROM page JOIN first USING (html)
 
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
-    "op4_radix_dedup": op4_radix_dedup,
     "op5_chat_formatting": _CHAT,
     "op9_warc_bundles": _WARC,
 }

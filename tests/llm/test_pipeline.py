@@ -91,3 +91,4 @@ def test_all_are_registered():
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(ORACLE) <= set(QUERIES)
+    assert all(isinstance(sql, str) for sql in ORACLE.values())
