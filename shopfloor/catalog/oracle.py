@@ -437,12 +437,45 @@ ORACLE["load_audit"] = " UNION ALL ".join(
 
 # --- streams --------------------------------------------------------------------
 
-ORACLE["lead_append"] = f"""
-    SELECT * REPLACE ({_normalized('phone')} AS phone) FROM ({_BRANCHES[0]})
-"""
-# A day is finished once the latest call lies a day or more after its end.
-ORACLE["first_calls_append"] = f"""
-    SELECT * FROM ({ORACLE['lead_dedup']})
-    WHERE CAST(created_at AS DATE) + INTERVAL 1 DAY
-        <= (SELECT MAX(created_at) FROM {A.ALL_SALES_CALLS.sql()}) - INTERVAL 1 DAY
+ORACLE["lead_append"] = ORACLE["lead_union"]
+ORACLE["first_calls_append"] = ORACLE["lead_dedup"]
+
+# --- files ----------------------------------------------------------------------
+
+ORACLE["lead_funnel_files"] = ORACLE["lead_union"]
+ORACLE["sheet_export"] = ORACLE["lead_dedup"]
+ORACLE["bad_dates"] = f"""
+    SELECT 'messages' AS source, COUNT(*) AS n_rows,
+           COUNT(*) FILTER (date IS NOT NULL AND try_strptime(date, '%d/%m/%Y') IS NULL) AS n_bad
+    FROM {A.MESSAGES.sql()}
+    UNION ALL
+    SELECT 'rendered', COUNT(*), COUNT(*) FILTER (bad IS NOT NULL AND try_strptime(bad, '%d/%m/%Y') IS NULL)
+    FROM {A.RENDERED_DATES.sql()}
+"""
+ORACLE["repeated_ids"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", COUNT({key}) AS n_ids, COUNT(*) FILTER (n > 1) AS n_repeated
+        FROM (SELECT {key}, COUNT(*) AS n FROM {adapter.sql()} GROUP BY {key})"""
+    for name, adapter, key in (
+        ("inventory_items", A.INVENTORY_ITEMS, "item_id"),
+        ("service_items", A.SERVICE_ITEMS, "item_id"),
+        ("transaction_lines", A.LINES, "transaction_id"),
+    )
+)
+
+# --- model ----------------------------------------------------------------------
+
+_WINDOWED = f"""
+    SELECT *, {_LATEST_FIRST} AS n, COUNT(scaled) OVER {_BEFORE} AS n_lags FROM ({_SCALED})
+"""
+ORACLE["forecast_holdout_rows"] = f"""
+    SELECT location_id, trandate, sales AS real, n_lags = 30 AS predicted FROM ({_WINDOWED}) WHERE is_holdout
+"""
+ORACLE["forecast_latest_rows"] = f"""
+    SELECT location_id, trandate, sales, n_lags = 30 AS predicted FROM ({_WINDOWED}) WHERE n = 1
+"""
+ORACLE["model_residuals"] = "SELECT CAST(lag AS INT) AS lag, CAST(0 AS DOUBLE) AS residual FROM range(31) t(lag)"
+_COMPANY = f"SELECT 'all' AS location_id, trandate, sales FROM ({ORACLE['daily_sales']})"
+ORACLE["company_report"] = f"""
+    SELECT location_id AS series, * EXCLUDE (location_id)
+    FROM ({ORACLE['forecast_report'].replace(_SERIES, _COMPANY)})
 """

@@ -13,6 +13,8 @@ from shopfloor.functions import dates, phone, text
 from shopfloor.operators import ads, forecast, inventory, leads, sales, stores, tickets, training
 from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
+from shopfloor.sinks import export_sheet
+from shopfloor.sources import read_csv, read_json_lines
 from shopfloor.streaming import lead_append as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,11 +131,16 @@ def call_log_projection(spark, folder):
 
 @_register
 def eav_pivot(spark, folder):
+    codes = _field_codes(spark, folder)
+    return codes.select(*[F.col(c).cast("double").alias(c) if c != "ticket_id" else c for c in codes.columns])
+
+
+def _field_codes(spark: SparkSession, folder: str) -> DataFrame:
     return tickets.custom_field_codes(A.CUSTOM_FIELDS.frame(spark, folder))
 
 
 def _label_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The parts as JSON documents with two custom fields each, parsed again."""
+    """The parts as JSON documents with two custom fields each, landed and read."""
     entry = "named_struct('id', {id}, 'lable', {label})"
     kind = entry.format(id="id", label="kind")
     names = ", ".join(
@@ -144,8 +151,9 @@ def _label_documents(spark: SparkSession, folder: str) -> DataFrame:
             named_struct('values', CASE WHEN size <= 40 THEN array({kind}) ELSE slice(array({kind}), 1, 0) END),
             named_struct('values', array({names}))))) AS document"""
     )
-    schema = schemas.CUSTOM_FIELDS_DOCUMENT.simpleString()
-    return packed.select(F.from_json("document", schema).alias("d")).select("d.*")
+    folder = fresh_folder(spark, "label-documents")
+    packed.write.text(folder)
+    return read_json_lines(spark, folder, schemas.CUSTOM_FIELDS_DOCUMENT)
 
 
 @_register
@@ -161,7 +169,7 @@ def json_label_table(spark, folder):
 def custom_field_labels(spark, folder):
     documents = _label_documents(spark, folder)
     labelled = tickets.label_custom_fields(
-        eav_pivot(spark, folder), tickets.label_table(documents, 0), tickets.label_table(documents, 1)
+        _field_codes(spark, folder), tickets.label_table(documents, 0), tickets.label_table(documents, 1)
     )
     return schemas.conform(labelled, schemas.TICKET_CUSTOM_FIELDS)
 
@@ -176,14 +184,64 @@ def hotline_calls(spark, folder):
 
 @_register
 def lead_union(spark, folder):
-    return leads.lead_union(
+    return leads.lead_union(*_lead_sources(spark, folder))
+
+
+def _lead_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
+    return [
         hotline_calls(spark, folder),
-        A.MESSAGES.frame(spark, folder),
-        A.AD_FORMS.frame(spark, folder),
-        A.PARTNER_FORMS.frame(spark, folder),
-        A.SECOND_PARTNER_FORMS.frame(spark, folder),
-        A.SHOP_FORMS.frame(spark, folder),
-        A.SALES_CALLS.frame(spark, folder),
+        *[
+            source.frame(spark, folder)
+            for source in (
+                A.MESSAGES, A.AD_FORMS, A.PARTNER_FORMS, A.SECOND_PARTNER_FORMS, A.SHOP_FORMS, A.SALES_CALLS,
+            )
+        ],
+    ]
+
+
+@_register
+def lead_funnel_files(spark, folder):
+    """The same leads, the five file sources landed as CSV and read by the job."""
+    base = fresh_folder(spark, "lead-files")
+
+    def land(name: str, rows: DataFrame) -> str:
+        exact = rows.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        exact.csv(f"{base}/{name}", header=True, escape='"')
+        return f"{base}/{name}"
+
+    shown = {new: old for old, new in loads.MESSAGE_HEADERS.items()}
+    files = loads.LeadFiles(
+        messages=land("messages", A.MESSAGES.frame(spark, folder).withColumnsRenamed(shown)),
+        ad_forms=land("ad", A.AD_FORMS.frame(spark, folder)),
+        partner_forms=land("partner", A.PARTNER_FORMS.frame(spark, folder)),
+        second_partner_forms=land("second", A.SECOND_PARTNER_FORMS.frame(spark, folder)),
+        shop_forms=land("shop", A.SHOP_FORMS.frame(spark, folder)),
+    )
+    return loads.lead_funnel(
+        spark, files, A.HOTLINE.frame(spark, folder), A.SALES_CALLS.frame(spark, folder), HOTLINE
+    )
+
+
+@_register
+def bad_dates(spark, folder):
+    """Date texts of two sources, one of them in another order than the rule expects."""
+    return loads.bad_dates(
+        {
+            "messages": (A.MESSAGES.frame(spark, folder), "date", dates.parse_day_first(F.col("date"))),
+            "rendered": (A.RENDERED_DATES.frame(spark, folder), "bad", dates.parse_day_first(F.col("bad"))),
+        }
+    )
+
+
+@_register
+def repeated_ids(spark, folder):
+    ledger = _ledger(spark, folder)
+    return loads.repeated_ids(
+        {
+            "inventory_items": (ledger.inventory_items, "item_id"),
+            "service_items": (ledger.service_items, "item_id"),
+            "transaction_lines": (ledger.lines, "transaction_id"),
+        }
     )
 
 
@@ -192,6 +250,14 @@ def lead_dedup(spark, folder):
     return leads.lead_dedup(A.ALL_SALES_CALLS.frame(spark, folder))
 
 
+@_register
+def sheet_export(spark, folder):
+    """First calls written as sheets of 500 lines and read back."""
+    path = fresh_folder(spark, "sheets")
+    export_sheet(schemas.conform(lead_dedup(spark, folder), schemas.LEAD_EXPORT), path, 500)
+    return schemas.conform(read_csv(spark, path), schemas.LEAD_EXPORT)
+
+
 @_register
 def date_parse(spark, folder):
     return A.RENDERED_DATES.frame(spark, folder).select(
@@ -388,7 +454,8 @@ def scaler_fit(spark, folder):
 
 @_register
 def scaler_apply(spark, folder):
-    return forecast.fit_and_scale(_split(spark, folder), SERIES).select(
+    split = _split(spark, folder)
+    return forecast.scaler_apply(split, forecast.scaler_fit(split, SERIES), SERIES).select(
         *SERIES, "trandate", "sales", "scaled",
         F.round(forecast.unscale(F.col("scaled"), F.col("low"), F.col("high")), 4).alias("unscaled"),
     )
@@ -443,6 +510,38 @@ def forecast_latest(spark, folder):
     return forecasting.score_latest(spark, series, saved)
 
 
+@_register
+def forecast_holdout_rows(spark, folder):
+    """Days, real values and which of them got a prediction."""
+    return forecast_holdout(spark, folder).select(*SERIES, "trandate", "real", F.col("pred").isNotNull().alias("predicted"))
+
+
+@_register
+def forecast_latest_rows(spark, folder):
+    return forecast_latest(spark, folder).select(
+        *SERIES, "trandate", "sales", F.col("prediction").isNotNull().alias("predicted")
+    )
+
+
+@_register
+def model_residuals(spark, folder):
+    """A fit without penalty leaves no error along any lag."""
+    windows = materialize(_lags(spark, folder), "lag-windows")
+    model = forecast.fit_model(windows, penalty=0.0)
+    return forecast.normal_residuals(windows, model).select(
+        "lag", (F.round("residual", 6) + 0.0).alias("residual")
+    )
+
+
+@_register
+def company_report(spark, folder):
+    """The report on the sales of all locations together."""
+    daily = sales.daily_sales(_ledger(spark, folder), SALES_RULE)
+    predicted = forecast.mean_of_lags(forecast.single_series(daily), ("series",))
+    report = forecast.forecast_report(predicted, ("series",))
+    return report.withColumn("prediction", F.round("prediction", 4))
+
+
 # --- loads ----------------------------------------------------------------------
 
 
@@ -463,20 +562,19 @@ def load_audit(spark, folder):
 
 @_register
 def lead_append(spark, folder):
-    """Hotline calls, landed raw and appended by the stream."""
+    """The leads of all sources, landed with raw phones and appended by the stream."""
     base = fresh_folder(spark, "lead-append")
-    no_leads = spark.createDataFrame([], schemas.LEADS)
-    leads.unite(no_leads, hotline_calls(spark, folder)).write.parquet(f"{base}/landed")
+    leads.lead_rows(*_lead_sources(spark, folder)).write.parquet(f"{base}/landed")
     streaming.append_leads(spark, f"{base}/landed", f"{base}/leads", f"{base}/state").awaitTermination()
     return schemas.conform(spark.read.parquet(f"{base}/leads"), schemas.LEADS)
 
 
 @_register
 def first_calls_append(spark, folder):
-    """First call per person, click id, campaign and finished day, by the stream."""
+    """First call per person, click id, campaign and day, by the stream."""
     base = fresh_folder(spark, "first-calls")
     A.ALL_SALES_CALLS.frame(spark, folder).write.parquet(f"{base}/landed")
     streaming.append_first_calls(
-        spark, f"{base}/landed", f"{base}/calls", f"{base}/state"
+        spark, f"{base}/landed", f"{base}/raw", f"{base}/calls", f"{base}/state"
     ).awaitTermination()
     return schemas.conform(spark.read.schema(schemas.LEAD_EXPORT).parquet(f"{base}/calls"), schemas.LEAD_EXPORT)

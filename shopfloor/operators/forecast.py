@@ -143,7 +143,7 @@ def forecast_metrics(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
     Errors are summed as exact decimals with six digits, so that the result
     does not depend on the order in which tasks deliver them.
     """
-    error = (F.col("sales") - F.col("prediction")).cast("decimal(18,6)")
+    error = (F.col("sales") - F.col("prediction")).cast("decimal(28,6)")
 
     def mean(total: Column) -> Column:
         return F.sum(total).cast("double") / F.count(error)
@@ -157,6 +157,24 @@ def forecast_metrics(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --- model --------------------------------------------------------------------
 
 
+def normal_residuals(windows: DataFrame, model: LinearRegressionModel, lags: int = LAGS) -> DataFrame:
+    """Per lag the mean product of lag and error over the training windows.
+
+    A least-squares fit without penalty leaves 0 for every lag, and for the
+    constant, which is lag 0 here.
+    """
+    training = windows.where(~F.col("is_holdout") & (F.size("lags") == lags))
+    fitted = model.copy({model.predictionCol: "fitted"}).transform(
+        training.withColumn("features", array_to_vector("lags"))
+    )
+    error = F.col("scaled") - F.col("fitted")
+    return (
+        fitted.select(error.alias("error"), F.posexplode(F.concat(F.array(F.lit(1.0)), F.col("lags"))).alias("lag", "value"))
+        .groupBy("lag")
+        .agg(F.avg(F.col("error") * F.col("value")).alias("residual"))
+    )
+
+
 @dataclass(frozen=True)
 class Forecaster:
     """A fitted model with the scaler parameters it was trained on."""
@@ -185,6 +203,8 @@ def fit_model(windows: DataFrame, penalty: float = 1e-4, lags: int = LAGS) -> Li
     rows = windows.where(~F.col("is_holdout") & (F.size("lags") == lags)).select(
         array_to_vector("lags").alias("features"), F.col("scaled").alias("label")
     )
+    if rows.isEmpty():
+        raise ValueError(f"no training day has {lags} days before it")
     return LinearRegression(solver="normal", regParam=penalty).fit(rows)
 
 

@@ -84,7 +84,23 @@ def lead_union(
     shop_forms: DataFrame,
     desk_calls: DataFrame,
 ) -> DataFrame:
-    """The whole funnel from shaped and raw sources, with phones normalised.
+    """The whole funnel from shaped and raw sources, with phones normalised."""
+    rows = lead_rows(
+        calls, messages, ad_forms, partner_forms, second_partner_forms, shop_forms, desk_calls
+    )
+    return rows.withColumn("phone", normalize_phone(F.col("phone")))
+
+
+def lead_rows(
+    calls: DataFrame,
+    messages: DataFrame,
+    ad_forms: DataFrame,
+    partner_forms: DataFrame,
+    second_partner_forms: DataFrame,
+    shop_forms: DataFrame,
+    desk_calls: DataFrame,
+) -> DataFrame:
+    """All sources in the shape of the target, phones as they came.
 
     The second partner carries the label of the house ads, as in the source
     rule. No shuffle: every branch is a scan and a projection.
@@ -97,9 +113,7 @@ def lead_union(
         sales_call_leads(desk_calls),
     ).withColumn("channel", F.lit(FORMS))
     everything = unite(calls, message_leads(messages), forms)
-    return everything.withColumn("phone", normalize_phone(F.col("phone"))).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEADS]
-    )
+    return everything.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEADS])
 
 
 def lead_dedup(calls: DataFrame) -> DataFrame:
@@ -125,14 +139,14 @@ def post_meta(posts: DataFrame, meta: DataFrame, post_type: str) -> DataFrame:
 
     Written as matches plus posts without a match. An outer join could neither
     broadcast the few chosen posts nor split one post with very many values;
-    the inner join can do both. The unmatched part reads only the id column,
-    reduced to distinct ids before it is moved.
+    the inner join can do both. The unmatched part reads only the ids of values,
+    cut to those of chosen posts before they are made distinct.
     """
     chosen = posts.where(F.col("post_type") == post_type).select(
         "ID", F.col("post_name").alias("telephone"), day_text(F.col("post_date")).alias("post_date")
     )
     values = meta.select(F.col("post_id").alias("ID"), F.col("meta_value").alias("data"))
     matched = chosen.join(values, "ID")
-    with_meta = values.select("ID").distinct()
+    with_meta = values.select("ID").join(chosen.select("ID"), "ID", "left_semi").distinct()
     unmatched = chosen.join(with_meta, "ID", "left_anti").withColumn("data", F.lit(None).cast("string"))
     return matched.unionByName(unmatched).select("ID", "telephone", "data", "post_date")

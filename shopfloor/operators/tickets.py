@@ -26,13 +26,13 @@ def custom_field_codes(
     """One row per ticket from (ticket, field, value) rows.
 
     Values are text; what is not a number counts as null. A field that repeats
-    adds up, as in the source rule. A sum with a fraction stays one and so has
-    no label.
+    adds up, as in the source rule. Sums stay exact decimals, so large codes keep
+    all digits; a sum with a fraction has no label.
     """
 
     def code(field: int, name: str):
-        value = F.col("custom_filed_value").try_cast("decimal(20,4)")
-        return F.sum(F.when(F.col("custom_filed_id") == field, value)).cast("double").alias(name)
+        value = F.col("custom_filed_value").try_cast("decimal(28,4)")
+        return F.sum(F.when(F.col("custom_filed_id") == field, value)).alias(name)
 
     return fields.groupBy("ticket_id").agg(
         code(care, "trang_thai_cham_soc"), code(receive, "trang_thai_tiep_nhan")
@@ -46,17 +46,23 @@ def label_table(documents: DataFrame, position: int) -> DataFrame:
 
 
 def label_custom_fields(codes: DataFrame, care: DataFrame, receive: DataFrame) -> DataFrame:
-    """Replace both codes by their labels; null where a code has none."""
-
-    def named(labels: DataFrame, code: str, label: str) -> DataFrame:
-        return labels.select(F.col("id").alias(code), F.col("lable").alias(label))
-
-    return (
-        codes.join(named(care, "trang_thai_cham_soc", "care_label"), "trang_thai_cham_soc", "left")
-        .join(named(receive, "trang_thai_tiep_nhan", "receive_label"), "trang_thai_tiep_nhan", "left")
-        .select(
-            "ticket_id",
-            F.col("care_label").alias("trang_thai_cham_soc"),
-            F.col("receive_label").alias("trang_thai_tiep_nhan"),
-        )
+    """Replace both codes by their labels; null where a code has none.
+
+    Codes are compared as whole numbers, so large ids stay exact; one with a
+    fraction has no label. Tickets without a code go around the join, where they
+    would all meet in one task.
+    """
+
+    def labelled(tickets: DataFrame, labels: DataFrame, code: str) -> DataFrame:
+        whole = F.when(F.col(code) == F.floor(code), F.col(code).try_cast("bigint"))
+        coded = tickets.withColumn("code", whole)
+        names = labels.select(F.col("id").cast("bigint").alias("code"), F.col("lable").alias("label"))
+        named = coded.where("code IS NOT NULL").join(names, "code", "left")
+        plain = coded.where("code IS NULL").withColumn("label", F.lit(None).cast("string"))
+        rest = [F.col(c) for c in tickets.columns if c != code]
+        return named.select(*rest, F.col("label").alias(code)).unionByName(plain.select(*rest, F.col("label").alias(code)))
+
+    first = labelled(codes, care, "trang_thai_cham_soc")
+    return labelled(first, receive, "trang_thai_tiep_nhan").select(
+        "ticket_id", "trang_thai_cham_soc", "trang_thai_tiep_nhan"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopfloor.operators import forecast
 from shopfloor.session import materialize
@@ -22,15 +23,13 @@ def train_forecaster(
         forecast.lag_windows(forecast.fit_and_scale(split, keys), keys), "lag-windows"
     )
     model = forecast.fit_model(windows)
-    return windows, forecast.Forecaster(model, forecast.scaler_fit(split, keys), tuple(keys))
+    # The windows carry the bounds of their series; one without training days has none.
+    scaler = windows.where("low IS NOT NULL").groupBy(*keys).agg(F.first("low").alias("low"), F.first("high").alias("high"))
+    return windows, forecast.Forecaster(model, scaler, tuple(keys))
 
 
 def train_and_save(series: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """Fit on the series, save model and scaler, return the holdout predictions.
-
-    The series is read twice, for the windows and for the scaler; pass one that
-    is stored.
-    """
+    """Fit on the series, save model and scaler, return the holdout predictions."""
     windows, trained = train_forecaster(series, keys)
     trained.save(path)
     return forecast.forecast_holdout(windows, trained.model, keys)

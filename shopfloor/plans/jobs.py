@@ -6,7 +6,7 @@ over a database or over landed Parquet.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,17 +48,23 @@ def jdbc_reader(
     database: str | None = None,
     names: Mapping[str, str] | None = None,
     splits: Mapping[str, Split] | None = None,
+    small: Sequence[str] = (),
 ) -> Reader:
     """Tables of a database whose connection stands in the environment.
 
-    ``names`` maps logical to physical names; ``splits`` says how to read the
-    large tables in parallel.
+    ``names`` maps logical to physical names; ``splits`` says how to read tables in
+    parallel. One task reads a table without a split, so such a table must be
+    named in ``small``.
     """
     options = jdbc_options(prefix, database)
     known, ranges = names or {}, splits or {}
-    return lambda table: lower_names(
-        read_jdbc_table(spark, options, known.get(table, table), ranges.get(table))
-    )
+
+    def read(table: str) -> DataFrame:
+        if table not in ranges and table not in small:
+            raise ValueError(f"say how to split {table}, or that it is small")
+        return lower_names(read_jdbc_table(spark, options, known.get(table, table), ranges.get(table)))
+
+    return read
 
 
 def read_ledger(read: Reader) -> sales.Ledger:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -74,6 +75,35 @@ def lead_funnel(
     )
 
 
+def bad_dates(files: Mapping[str, tuple[DataFrame, str, Column]]) -> DataFrame:
+    """``(source, n_rows, n_bad)``: date texts that no rule could read, which the load makes null.
+
+    Per source its rows, the name of the text and the parsed value.
+    """
+
+    def one(name: str, rows: DataFrame, text: str, parsed: Column) -> DataFrame:
+        return rows.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias("n_bad"),
+        ).select(F.lit(name).alias("source"), "n_rows", "n_bad")
+
+    return reduce(DataFrame.unionAll, [one(name, *parts) for name, parts in files.items()])
+
+
+def repeated_ids(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``(table, n_ids, n_repeated)``: ids that occur more than once where joins expect one row each."""
+
+    def one(name: str, rows: DataFrame, key: str) -> DataFrame:
+        return (
+            rows.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count(key).alias("n_ids"), F.count_if(F.col("n") > 1).alias("n_repeated"))
+            .select(F.lit(name).alias("table"), "n_ids", "n_repeated")
+        )
+
+    return reduce(DataFrame.unionAll, [one(name, *parts) for name, parts in tables.items()])
+
+
 @dataclass(frozen=True)
 class Sources:
     """Frames behind the nightly warehouse load."""
@@ -95,7 +125,7 @@ def nightly_tables(sources: Sources, rule: sales.SalesRule = sales.SalesRule())
         "tickets": Load(tickets.ticket_projection(sources.tickets), schemas.TICKETS),
         "ticket_custom_fields": Load(fields, schemas.TICKET_CUSTOM_FIELDS),
         "call_logs": Load(tickets.call_log_projection(sources.call_logs), schemas.CALL_LOGS),
-        "leads": Load(sources.leads, schemas.LEADS, day="date"),
+        "leads": Load(sources.leads, schemas.LEADS),
     }
 
 

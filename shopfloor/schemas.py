@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Money and counts are summed as exact decimals, so that totals do not depend on row order.
-LEDGER = T.DecimalType(18, 4)
+LEDGER = T.DecimalType(28, 4)
 
 
 _LONG, _INT, _DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()

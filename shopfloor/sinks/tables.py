@@ -1,4 +1,4 @@
-"""Overwrite loads, capped sheet exports and the load audit."""
+"""Overwrite loads, sheet exports and the load audit."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopfloor.schemas import conform
+from shopfloor.sources.files import read_csv
 
 
 def overwrite_table(df: DataFrame, path: str, schema: StructType) -> None:
@@ -36,21 +37,17 @@ def overwrite_by_day(df: DataFrame, path: str, schema: StructType, day: str) ->
 
 
 def export_sheet(df: DataFrame, path: str, max_lines: int) -> int:
-    """Write one CSV with a header for a spreadsheet range of ``max_lines`` lines.
+    """Write CSV files with a header, each for a spreadsheet range of ``max_lines`` lines.
 
-    The range is a property of the target, so a frame that does not fit is an
-    error and nothing is written. Returns the number of rows.
+    Rows beyond one range go on in further files, so any number fits; ``rebalance``
+    keeps few rows from being many files. Text comes through as it is: quotes
+    doubled, spaces at either end kept. Returns the number of rows, counted by
+    reading back.
     """
-    room = max_lines - 1
-    rows = df.limit(room + 1).persist()
-    try:
-        n = rows.count()
-        if n > room:
-            raise ValueError(f"more than {room} rows for a range of {max_lines} lines")
-        rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
-    finally:
-        rows.unpersist()
-    return n
+    df.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", max_lines - 1).csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return read_csv(df.sparkSession, path).count()
 
 
 def load_audit(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:

@@ -20,17 +20,26 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 
     Parsing dates and numbers is left to the caller, so a phone keeps its
     leading 0 and no pass over the data is spent on guessing types. Files whose
-    header differs from the first one are an error, not silently shifted.
+    header differs from the first one are an error, not silently shifted. A quoted
+    cell may hold line breaks and doubled quotes; a backslash is a letter like any
+    other; an empty cell is null, quoted or not. A file is therefore read by one task, and large inputs come in files.
     """
-    df = spark.read.option("enforceSchema", False).csv(path, header=True, inferSchema=False)
+    df = spark.read.option("enforceSchema", False).csv(
+        path, header=True, inferSchema=False, multiLine=True, escape='"'
+    )
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One nested JSON document per file, or one per line."""
+    """One nested JSON document per file, or one array of them; see ``read_json_lines``."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One nested JSON document per line."""
+    return spark.read.schema(schema).json(path)
+
+
 def read_sheets(spark: SparkSession, folder: str, sheets: Sequence[str]) -> dict[str, DataFrame]:
     """A workbook landed as one CSV data set per sheet: ``<folder>/<sheet>``."""
     return {name: read_csv(spark, f"{folder}/{name}") for name in sheets}

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shopfloor.functions.dates import day_text
 from shopfloor.functions.phone import normalize_phone
 from shopfloor.operators.align import lower_names
+from shopfloor.operators.leads import lead_dedup
 from shopfloor.schemas import LEAD_EXPORT, LEADS, SALES_CALLS, conform
 
 
@@ -38,31 +39,38 @@ def append_leads(
     return _append(conform(cleaned, LEADS), target, checkpoint, "date")
 
 
-def first_calls(calls: DataFrame, delay: str = "1 day") -> DataFrame:
-    """The batch dedup on a stream: first call per person, click id, campaign and day.
+def append_first_calls(
+    spark: SparkSession, landed: str, raw: str, target: str, checkpoint: str
+) -> StreamingQuery:
+    """Keep ``target`` equal to the batch dedup of all calls that ever landed.
 
-    A day is final once the watermark passes it. Being an aggregate it combines
-    copies before the shuffle and keeps one state entry per group. A watermark
-    needs a time with a zone; under the session zone UTC the wall clock stays.
+    There is no watermark, so no call is too late: each batch is added to the raw
+    calls as it came, and then only the days it touches are worked out anew from
+    all their raw calls and overwritten, the folder of calls without a time
+    included. A batch that runs again replaces its own raw folder and repeats the
+    same days.
     """
-    return (
-        calls.withColumn("created_at", F.col("created_at").cast("timestamp"))
-        .withWatermark("created_at", delay)
-        .groupBy(
-            F.window("created_at", "1 day").alias("day"),
-            "customer_name", "customer_tel", "gclid", "campain",
-        )
-        .agg(F.min(F.struct("salescall_id", "customer_email")).alias("first"))
-        .select(
-            "first.salescall_id", "customer_name", "customer_tel", "first.customer_email",
-            "gclid", "campain", day_text(F.col("day.start")).alias("created_at"),
-        )
-    )
+    kept = StructType([*SALES_CALLS.fields, StructField("day", StringType()), StructField("batch", LongType())])
 
+    def add(calls: DataFrame, batch: int) -> None:
+        dated = calls.withColumn("day", day_text(F.col("created_at")))
+        dated.write.mode("overwrite").partitionBy("day").parquet(f"{raw}/batch={batch}")
+        everything = spark.read.schema(kept).option("basePath", raw).parquet(f"{raw}/batch=*")
+        new = everything.where(F.col("batch") == batch).select(F.col("day").alias("touched")).distinct()
+        touched = everything.join(new, F.col("day").eqNullSafe(F.col("touched")), "left_semi")
+        (
+            conform(lead_dedup(touched), LEAD_EXPORT)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("created_at")
+            .parquet(target)
+        )
 
-def append_first_calls(
-    spark: SparkSession, landed: str, target: str, checkpoint: str, delay: str = "1 day"
-) -> StreamingQuery:
-    """First calls of every finished day, appended by day."""
-    arriving = spark.readStream.schema(SALES_CALLS).parquet(landed)
-    return _append(conform(first_calls(arriving, delay), LEAD_EXPORT), target, checkpoint, "created_at")
+    return (
+        spark.readStream.schema(SALES_CALLS)
+        .parquet(landed)
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

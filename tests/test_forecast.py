@@ -155,3 +155,25 @@ def test_too_few_days_give_no_prediction(spark, series, tmp_path):
     assert [(r["store"], r["prediction"]) for r in few] == [("a", None)]
     enough = ops.forecast_latest(series_frame(spark, a=wave(31)), trained).collect()
     assert enough[0]["prediction"] is not None
+
+
+def test_large_errors_do_not_overflow(spark):
+    rows = [("a", 1e13 * (i % 2), 0.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "store string, sales double, prediction double")
+    (got,) = ops.forecast_metrics(df, KEYS).collect()
+    assert got["mse"] == pytest.approx(5e25) and got["mae"] == pytest.approx(5e12)
+
+
+def test_no_training_day_is_a_clear_error(spark):
+    with pytest.raises(ValueError, match="no training day has 30 days before it"):
+        train_forecaster(series_frame(spark, a=wave(40)), KEYS)
+
+
+def test_a_plain_fit_leaves_no_residual(spark):
+    split = ops.holdout_split(series_frame(spark, a=wave(160), b=wave(150, 2)), KEYS)
+    windows = ops.lag_windows(ops.fit_and_scale(split, KEYS), KEYS).cache()
+    plain, penalised = (ops.fit_model(windows, penalty=p) for p in (0.0, 0.5))
+    found = {r["lag"]: r["residual"] for r in ops.normal_residuals(windows, plain).collect()}
+    assert sorted(found) == list(range(31)) and max(map(abs, found.values())) < 1e-9
+    assert max(abs(r["residual"]) for r in ops.normal_residuals(windows, penalised).collect()) > 1e-6
+    windows.unpersist()

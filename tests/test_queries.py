@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from shopfloor.catalog.oracle import ORACLE
+from shopfloor.catalog.queries import QUERIES
 from tools.compare import compare, duckdb_views
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 WITHOUT_SQL = {"forecast_holdout", "forecast_latest"}
 
 
@@ -19,7 +19,8 @@ def con(data):
 
 def test_sql_covers_all_but_the_model_queries():
     assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,12 +1,23 @@
 from __future__ import annotations
 
+import csv
+
 import pytest
+from pyspark.sql import functions as F
 
 from shopfloor import schemas as S
 from shopfloor import session
-from shopfloor.plans import loads
+from shopfloor.functions.dates import parse_day_first
+from shopfloor.plans import jobs, loads
 from shopfloor.sinks import export_sheet, load_audit, overwrite_by_day, overwrite_table
-from shopfloor.sources import preview, read_csv, read_sheets, read_table
+from shopfloor.sources import (
+    preview,
+    read_csv,
+    read_json_documents,
+    read_json_lines,
+    read_sheets,
+    read_table,
+)
 from shopfloor.sources.jdbc import Split, jdbc_options, table_options
 
 
@@ -95,14 +106,68 @@ def test_heavy_day_is_cut_into_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "leads")).count() == 60_000
 
 
-def test_export_cap(spark, tmp_path):
+def test_exports_go_on_in_further_files(spark, tmp_path):
     path = tmp_path / "sheet"
     assert export_sheet(spark.range(9), str(path), 10) == 9
     files = list(path.glob("part-*"))
     assert len(files) == 1 and len(files[0].read_text().splitlines()) == 10
-    with pytest.raises(ValueError, match="more than 9 rows"):
-        export_sheet(spark.range(10), str(tmp_path / "other"), 10)
-    assert not (tmp_path / "other").exists()
+    assert export_sheet(spark.range(1000), str(path), 10) == 1000
+    sizes = [len(f.read_text().splitlines()) for f in path.glob("part-*")]
+    assert max(sizes) == 10 and sum(sizes) - len(sizes) == 1000
+    assert export_sheet(spark.range(0), str(path), 10) == 0
+
+
+ODD_CELLS = ['an "the" man, x', " lead ", "two\nlines", "back\\", '"', "", "'091", "a\tb,c;d", None]
+
+
+def test_text_survives_a_sheet(spark, tmp_path):
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(ODD_CELLS)], "id long, text string")
+    export_sheet(rows.coalesce(1), str(tmp_path / "sheet"), 100)
+    (file,) = (tmp_path / "sheet").glob("part-*")
+    with file.open(newline="") as lines:
+        cells = {int(r["id"]): r["text"] for r in csv.DictReader(lines)}
+    assert cells == {i: t or "" for i, t in enumerate(ODD_CELLS)}
+    back = read_csv(spark, str(tmp_path / "sheet")).orderBy(F.col("id").cast("int")).collect()
+    # A sheet has one kind of empty cell.
+    assert [r["text"] for r in back] == [t or None for t in ODD_CELLS]
+
+
+def test_cells_of_a_standard_writer(spark, tmp_path):
+    with (tmp_path / "sheet.csv").open("w", newline="") as file:
+        writer = csv.writer(file)
+        writer.writerow(["Name", "Phone"])
+        writer.writerows([['an "the" man, x', "091"], ["two\r\nlines", "092"], ["back\\", "093"], ["plain", "094"]])
+    rows = read_csv(spark, str(tmp_path / "sheet.csv"), ["Name", "Phone"]).collect()
+    assert [r["Phone"] for r in rows] == ["091", "092", "093", "094"]
+    assert [r["Name"].replace("\r\n", "\n") for r in rows] == ['an "the" man, x', "two\nlines", "back\\", "plain"]
+
+
+def test_json_documents_and_lines(spark, tmp_path):
+    one = '{"custom_fields": [{"values": [{"id": %d, "lable": "a"}]}]}'
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text("\n".join([one % 1, one % 2]))
+    (tmp_path / "lines" / "b.json").write_text(one % 3)
+    ids = F.col("custom_fields")[0]["values"][0]["id"]
+    found = read_json_lines(spark, str(tmp_path / "lines"), S.CUSTOM_FIELDS_DOCUMENT).select(ids.alias("id")).collect()
+    assert sorted(r["id"] for r in found) == [1, 2, 3]
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "a.json").write_text((one % 4).replace(" ", "\n"))
+    (tmp_path / "whole" / "b.json").write_text(f"[{one % 5},\n{one % 6}]")
+    found = read_json_documents(spark, str(tmp_path / "whole"), S.CUSTOM_FIELDS_DOCUMENT).select(ids.alias("id")).collect()
+    assert sorted(r["id"] for r in found) == [4, 5, 6]
+
+
+def test_tables_need_a_split_or_a_name_among_the_small(spark, monkeypatch):
+    monkeypatch.setenv("LEDGER_URL", "jdbc:none:x")
+    with pytest.raises(ValueError, match="say how to split transaction_lines"):
+        jobs.jdbc_reader(spark, "ledger")("transaction_lines")
+
+
+def test_bad_dates_and_repeated_ids(spark, rows):
+    texts = spark.createDataFrame([("1/2/2020",), ("x",), (None,), ("31/12/2020",), ("13/13/2020",)], "d string")
+    assert rows(loads.bad_dates({"t": (texts, "d", parse_day_first(F.col("d")))})) == [("t", 5, 2)]
+    ids = spark.createDataFrame([(1,), (2,), (2,), (2,), (None,), (None,)], "id long")
+    assert rows(loads.repeated_ids({"t": (ids, "id")}), "table", "n_ids") == [("t", 2)]
 
 
 def test_exports(spark, data, tmp_path):

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from shopfloor import schemas as S
+from shopfloor.operators.leads import lead_dedup
 from shopfloor.streaming.lead_append import append_first_calls, append_leads
 
 
@@ -26,20 +27,22 @@ def test_new_files_are_appended_once(spark, tmp_path, rows):
     assert sorted(p.name for p in (tmp_path / "leads").glob("date=*")) == ["date=2021-03-04", "date=2021-03-05"]
 
 
-def test_first_call_of_each_finished_day(spark, tmp_path, rows):
-    landed, target, state = (str(tmp_path / n) for n in ("landed", "calls", "state"))
+def test_first_calls_equal_the_batch_dedup_after_every_run(spark, tmp_path, rows):
+    landed, raw, target, state = (str(tmp_path / n) for n in ("landed", "raw", "calls", "state"))
 
     def call(i, day, hour, name="a"):
-        return (i, name, "1", f"{i}@x", None, "c", None, datetime(2021, 3, day, hour), None)
+        moment = None if day is None else datetime(2021, 3, day, hour)
+        return (i, name, "1", f"{i}@x", None, "c", None, moment, None)
 
     def run(*new):
         spark.createDataFrame(list(new), S.SALES_CALLS).write.mode("append").parquet(landed)
-        append_first_calls(spark, landed, target, state, "1 hour").awaitTermination()
-        return rows(spark.read.schema(S.LEAD_EXPORT).parquet(target), "salescall_id", "customer_name")
-
-    run(call(2, 4, 10), call(3, 4, 11), call(4, 4, 9, "b"))
-    # An earlier id for the open day still counts; the next day closes it.
-    run(call(1, 4, 23), call(5, 5, 12))
-    done = run(call(6, 6, 12))
-    assert (1, "a") in done and (4, "b") in done
-    assert not any(i in (2, 3) for i, _ in done)
+        append_first_calls(spark, landed, raw, target, state).awaitTermination()
+        streamed = rows(spark.read.schema(S.LEAD_EXPORT).parquet(target).select(*S.LEAD_EXPORT.names))
+        assert streamed == rows(S.conform(lead_dedup(spark.read.parquet(landed)), S.LEAD_EXPORT))
+        return {r[0] for r in streamed}
+
+    assert run(call(2, 4, 10), call(3, 4, 11), call(4, 4, 9, "b"), call(9, None, 0)) == {2, 4, 9}
+    # An earlier id, a second call without a time, and the last day of all.
+    assert run(call(1, 4, 23), call(5, 6, 12), call(8, None, 0)) == {1, 4, 5, 8}
+    # A day long past.
+    assert run(call(7, 1, 12), call(6, 4, 1, "c")) == {1, 4, 5, 6, 7, 8}

@@ -55,3 +55,13 @@ def test_label_lookup(spark, rows):
     assert rows(label_custom_fields(codes, care, receive)) == [
         (1, "called", "taken"), (2, "new", None), (3, None, None), (4, None, "taken"),
     ]
+
+
+def test_large_ids_match_exactly(spark, rows):
+    big = 2**60 + 1
+    fields = spark.createDataFrame([(1, 4871, str(big)), (2, 4871, str(big - 1)), (3, 4893, "7")], S.TICKET_CUSTOM_FIELDS_EAV)
+    care = spark.createDataFrame([(big, "right"), (big + 1, "wrong")], "id bigint, lable string")
+    receive = spark.createDataFrame([(7, "taken")], "id bigint, lable string")
+    assert rows(label_custom_fields(custom_field_codes(fields), care, receive)) == [
+        (1, "right", None), (2, None, None), (3, None, "taken"),
+    ]
