@@ -69,20 +69,29 @@ def _trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
     return whole[-size:] if len(whole) > size else whole
 
 
-def _documents_with(texts: Iterable[str]) -> Counter:
-    """In how many texts each word occurs."""
-    return Counter(word for text in texts for word in set(_words(text)))
+def _documents_with(texts: Iterable[str]) -> tuple[Counter, int]:
+    """In how many different texts each word occurs, and the number of different texts.
+
+    Near copies mostly agree in the word of least hash; texts that do count once.
+    """
+    import xxhash
+
+    alike: dict[bytes, set[bytes]] = {}
+    for text in texts:
+        if words := set(_words(text)):
+            alike.setdefault(min(words, key=xxhash.xxh64_intdigest), set()).update(words)
+    return Counter(word for words in alike.values() for word in words), max(1, len(alike))
 
 
 def train_dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
     """Content of the ordinary and of the toxic dictionary."""
     base = _trained([w for t in ordinary for w in windows(t, 200)], ORDINARY_BYTES, 24, 8)
-    usual, found = _documents_with(ordinary), _documents_with(toxic)
-    least = max(SHARED_BY, SHARED_SHARE * len(toxic))
+    (usual, n_usual), (found, n_found) = _documents_with(ordinary), _documents_with(toxic)
+    least = max(SHARED_BY, SHARED_SHARE * n_found)
     own = {
         word
         for word, n in found.items()
-        if n >= least and n / len(toxic) >= ENRICHED * (usual[word] + 1) / len(ordinary)
+        if n >= least and n / n_found >= ENRICHED * (usual[word] + 1) / n_usual
     }
     samples = [b" ".join(w for w in _words(t) if w in own) for t in toxic]
     return base, base + _trained(samples, TOXIC_BYTES, 24, 8)
