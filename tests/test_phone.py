@@ -70,6 +70,19 @@ def test_every_prefix(spark):
     assert got == [(old + "1234567", new + "1234567") for old, new in PREFIXES.items()] + [(None, None)] * 2
 
 
+# Fixed values, from the public renumbering of eleven-digit mobile numbers.
+RENUMBERED = {
+    "0120": "070", "0121": "079", "0122": "077", "0123": "083", "0124": "084", "0125": "085", "0126": "076",
+    "0127": "081", "0128": "078", "0129": "082", "0199": "059",
+} | {f"016{n}": f"03{n}" for n in range(2, 10)}
+
+
+def test_eleven_digit_prefixes_follow_the_public_renumbering():
+    assert {old: new for old, new in PREFIXES.items() if len(old) == 4} == RENUMBERED
+    kept = {old for old, new in PREFIXES.items() if len(old) == 3 and old == new}
+    assert len(kept) == len(PREFIXES) - len(RENUMBERED) and set(RENUMBERED.values()) <= kept
+
+
 def test_phone_rules_stay_in_the_jvm(spark):
     df = frame(spark, ["1"])
     for rule in (normalize_phone, known_prefix, rewrite_prefix):
