@@ -92,7 +92,9 @@ def term_postings(docs: DataFrame, listed: frozenset[bytes], numbers: dict[bytes
         import xxhash
 
         listed, numbers = shared.value
-        for batch in batches:
+        # Postings take more room than their texts; a few documents at a time.
+        parts = (batch.slice(at, 512) for batch in batches for at in range(0, batch.num_rows, 512))
+        for batch in parts:
             keys, n_words, postings = [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 text = text.as_py()
