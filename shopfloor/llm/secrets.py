@@ -146,30 +146,31 @@ def tested_strings(text: str, known: list[tuple[int, int, int]]) -> list[tuple[i
     return found
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``_known`` and ``_tested``, the spans found; a written table."""
+def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``_known`` and ``_tested``, the spans found; a written table."""
+    texts = docs.select(*keep, F.col("text").alias("_text"))
     spans = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     tests = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("evidence", pa.float64())]))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known, tested = [], []
-            for value in batch.column("text"):
+            for value in batch.column(len(keep)):
                 text = value.as_py() or ""
                 spans_here = known_spans(text)
                 known.append([{"start": a, "kind": k, "end": b} for a, k, b in spans_here])
                 tested.append([{"start": a, "end": b, "evidence": e} for a, b, e in tested_strings(text, spans_here)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(known, spans), pa.array(tested, tests)],
-                names=[*batch.schema.names, "_known", "_tested"],
+                [*batch.columns[: len(keep)], pa.array(known, spans), pa.array(tested, tests)],
+                names=[*keep, "_known", "_tested"],
             )
 
     added = StructType.fromDDL(
         "_known array<struct<start: bigint, kind: int, end: bigint>>, "
         "_tested array<struct<start: bigint, end: bigint, evidence: double>>"
     )
-    schema = StructType([*docs.schema.fields, *added.fields])
-    return materialize(docs.mapInArrow(look, schema), "scanned")
+    schema = StructType([*texts.schema.fields[: len(keep)], *added.fields])
+    return materialize(texts.mapInArrow(look, schema), "scanned")
 
 
 def discovery_level(scanned: DataFrame, share: float = FALSE_SHARE) -> float:
@@ -204,7 +205,7 @@ def find_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     exclusive. Null and empty texts have none. Rows may repeat or lack a doc_id;
     other columns are not looked at; an empty table gives no rows.
     """
-    scanned = scan(docs.select("doc_id", "text"))
+    scanned = scan(docs, ["doc_id"])
     known, spans = _spans(discovery_level(scanned, share))
     return scanned.select("doc_id", known.alias("known"), spans.alias("spans"))
 
@@ -229,7 +230,7 @@ def masked(text: str, spans: list[tuple[int, int]], mark: str) -> str:
 
 def redact(docs: DataFrame, share: float = FALSE_SHARE, mark: str = "[SECRET]") -> DataFrame:
     """The rows and columns of ``docs`` with every secret in ``text`` replaced by ``mark``."""
-    scanned = scan(docs)
+    scanned = scan(docs, docs.columns)
     _, spans = _spans(discovery_level(scanned, share))
     at = docs.columns.index("text")
 
