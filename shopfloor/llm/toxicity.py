@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -33,6 +33,8 @@ LEAST_GAIN, MOST_GAIN = -3, 8
 #: A word of the toxic dictionary: this share of the toxic documents have it, so many
 #: at least, and it is so many times as frequent there as in ordinary ones.
 SHARED_SHARE, SHARED_BY, ENRICHED = 0.015, 3, 8
+#: Jaccard similarity of the words of texts that count as near copies.
+ALIKE = 0.8
 #: Parts of the sample; each is measured with dictionaries trained on the others.
 FOLDS = 3
 LEVEL = 3
@@ -69,18 +71,52 @@ def _trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
     return whole[-size:] if len(whole) > size else whole
 
 
+def _near_copies(sets: list[np.ndarray], n_words: int) -> list[int]:
+    """A number for each set of word numbers, the same where near copies lead from one to the other.
+
+    Every pair at ``ALIKE`` is found: both have one of their rarest words in common,
+    of as many as the larger may have that the other lacks, and one more.
+    """
+    spread = np.bincount(np.concatenate(sets), minlength=n_words) if sets else np.empty(0)
+    group, by_word = list(range(len(sets))), defaultdict(list)
+    there = np.zeros(n_words, dtype=bool)
+
+    def first(i: int) -> int:
+        while group[i] != i:
+            group[i] = i = group[group[i]]
+        return i
+
+    for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        words, n = sets[i], len(sets[i])
+        least = math.ceil(ALIKE * n - 1e-9)
+        rarest = words[np.lexsort((words, spread[words]))][: n - least + 1].tolist()
+        there[words] = True
+        for j in {j for word in rarest for j in by_word[word]}:
+            if len(sets[j]) >= least and first(i) != first(j):
+                common = int(there[sets[j]].sum())
+                if common >= ALIKE * (n + len(sets[j]) - common) - 1e-9:
+                    group[first(i)] = first(j)
+        there[words] = False
+        for word in rarest:
+            by_word[word].append(i)
+    return [first(i) for i in range(len(sets))]
+
+
 def _documents_with(texts: Iterable[str]) -> tuple[Counter, int]:
     """In how many different texts each word occurs, and the number of different texts.
 
-    Near copies mostly agree in the word of least hash; texts that do count once.
+    Near copies, by the Jaccard similarity of their words, count as one text.
     """
-    import xxhash
-
-    alike: dict[bytes, set[bytes]] = {}
-    for text in texts:
-        if words := set(_words(text)):
-            alike.setdefault(min(words, key=xxhash.xxh64_intdigest), set()).update(words)
-    return Counter(word for words in alike.values() for word in words), max(1, len(alike))
+    numbers: dict[bytes, int] = {}
+    found = ({numbers.setdefault(word, len(numbers)) for word in _words(text)} for text in texts)
+    sets = [np.array(sorted(each), dtype=np.int32) for each in found if each]
+    alike: dict[int, list[np.ndarray]] = defaultdict(list)
+    for group, words in zip(_near_copies(sets, len(numbers)), sets):
+        alike[group].append(words)
+    counts = np.zeros(len(numbers), dtype=np.int64)
+    for each in alike.values():
+        counts[np.unique(np.concatenate(each))] += 1
+    return Counter(dict(zip(numbers, counts.tolist()))), max(1, len(alike))
 
 
 def train_dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,32 @@ def test_nothing_to_learn_from(spark, documents, labels):
     model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert [r["score"] for r in toxicity.score(docs, model).collect()] == [model.prior] * 2
     assert toxicity.score(documents([]), model).count() == 0
+
+
+def test_only_near_copies_count_as_one_text():
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("bcdfghjk", k=6)) for _ in range(3000)]
+    # Every text has one of a few frequent words, among them that of least hash.
+    texts = [" ".join([*rng.sample(vocabulary, rng.choice([5, 20, 80])), *rng.choices(["the", "of", "and"], k=9)]) for _ in range(200)]
+    copies = [" ".join([*t.split()[:-1], "other"]) for t in texts[:50] if len(t.split()) > 20]
+    found, n = toxicity._documents_with([*texts, *copies, texts[0], "", "12 34"])
+    assert n == 200 and len(copies) > 20
+    assert found[b"the"] == sum("the" in t.split() for t in texts) and found[b"other"] == len(copies)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_are_those_of_comparing_all_pairs(seed):
+    rng = random.Random(seed)
+    sets = [set(rng.sample(range(60), rng.randint(1, 30))) for _ in range(60)]
+    for _ in range(120):
+        changed = set(rng.choice(sets))
+        for word in rng.sample(range(60), rng.randint(0, 4)):
+            changed ^= {word}
+        sets.append(changed or {7})
+    group = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    found = toxicity._near_copies([np.array(sorted(s)) for s in sets], 60)
+    assert len(set(zip(found, group))) == len(set(found)) == len(set(group))
