@@ -1,7 +1,7 @@
 """Secrets in text: known forms, and strings that look drawn at random.
 
 A long run of key characters is read as the narrowest usual encoding that has all
-its letters. A battery of tests (chi-squared over the alphabet, runs about the
+its letters; where none has, its parts are. A battery of tests (chi-squared over the alphabet, runs about the
 median, serial correlation) asks whether it could be drawn uniformly from that
 alphabet. Among those that could, the question is whether writing of the same
 length would look as even by chance: its probability is a p-value that short
@@ -42,6 +42,10 @@ FALSE_SHARE = 0.01
 #: Width of the classes of -log10 p in which p-values are counted, and their number.
 STEP, CLASSES = 0.05, 800
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{TEST_LENGTH},}}")
+#: Where no encoding has all characters of a candidate: its parts in letters and digits, base64 and base64url.
+_PARTS = [re.compile(rf"[A-Za-z0-9{more}]{{{TEST_LENGTH},}}") for more in ("", "+/", "_-")]
+#: Words and separators at the ends of a part, as in a path; the second for reversed text.
+_BEFORE, _AFTER = re.compile(r"(?:(?:[A-Z]?[a-z]{2,})?[+/_-])*"), re.compile(r"(?:(?:[a-z]{2,}[A-Z]?)?[+/_-])*")
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings from narrow to wide, and how often two characters of ordinary strings
@@ -136,13 +140,34 @@ def known_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def strongest_parts(text: str, start: int, end: int) -> list[tuple[int, int, float]]:
+    """``start, end, evidence`` of parts that do not overlap, those of most evidence first chosen.
+
+    Words of a path before and after a part are no part of it. The p-value of each
+    is multiplied by the number of parts looked at.
+    """
+    parts = set()
+    for m in (m for pattern in _PARTS for m in pattern.finditer(text, start, end)):
+        a, b = m.start() + _BEFORE.match(m.group()).end(), m.end() - _AFTER.match(m.group()[::-1]).end()
+        if b - a >= TEST_LENGTH:
+            parts.add((a, b))
+    each = [(a, b, max(0.0, evidence(text[a:b]) - math.log10(len(parts)))) for a, b in parts]
+    found: list[tuple[int, int, float]] = []
+    for a, b, e in sorted(each, key=lambda p: (-p[2], p[1] - p[0], p[0])):
+        if all(b <= x or y <= a for x, y, _ in found):
+            found.append((a, b, math.floor(e / STEP + 1e-9) * STEP))
+    return sorted(found)
+
+
 def tested_strings(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
     """``start, end, evidence`` of the strings the battery is applied to; known secrets are not tested again."""
     found = []
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if not any(a <= start and end <= b for a, _, b in known):
-            found.append((start, end, evidence(m.group())))
+        fits = infer_encoding(m.group()) is not None
+        for a, b, e in [(start, end, evidence(m.group()))] if fits else strongest_parts(text, start, end):
+            if not any(x <= a and b <= y for x, _, y in known):
+                found.append((a, b, e))
     return found
 
 

@@ -90,3 +90,24 @@ def test_overlapping_spans_are_masked_once():
 def test_empty_table(documents):
     assert secrets.find_secrets(documents([])).count() == 0
     assert secrets.redact(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("alphabet", [LETTERS[:-2], LETTERS[:-2] + "-_"])
+def test_keys_in_paths_of_mixed_letters_are_tested(alphabet):
+    rng = random.Random(5)
+    for _ in range(20):
+        key = "7" + "".join(rng.choices(alphabet, k=48)) + "7"
+        text = f"see /reset-password/{key}/ok and _/-" + "a/_" * 10
+        start = text.index(key)
+        tested = secrets.tested_strings(text, [])
+        assert [(a, b) for a, b, e in tested if e > 4] == [(start, start + len(key))]
+        assert secrets.tested_strings(text, [(start - 1, 0, start + len(key))]) == []
+
+
+def test_keys_in_paths_are_masked(documents):
+    rng = random.Random(6)
+    key = "".join(rng.choices(LETTERS[:-2], k=48))
+    docs = documents([(1, f"go to /reset-password/{key}"), (2, "go to /reset-password/with_the_usual_form/of+words")])
+    assert {r["text"] for r in secrets.redact(docs).collect()} == {
+        "go to /reset-password/[SECRET]", "go to /reset-password/with_the_usual_form/of+words"
+    }
