@@ -1,9 +1,9 @@
 """Byte strings of a given length that occur more than once, cut out of every text.
 
 Each byte of a text starts a suffix; those whose first ``LENGTH`` bytes agree are
-the repeats. They are found by a radix sort that looks no deeper than ``LENGTH``
-bytes, most significant digit first, in which only groups of several suffixes go
-on to the next digit.
+the repeats. They are found by hashes in three steps, in which only groups of
+several suffixes go on to the next. The steps stand in place of the passes of a
+radix sort and are named digits here, but no suffix is ordered by its first bytes.
 
 The first digit of a suffix is the string of ``DIGIT`` bytes within its window
 that has the least hash, together with its place in the window. It depends on the
