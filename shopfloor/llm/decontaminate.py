@@ -145,10 +145,11 @@ class Search:
 
     def __init__(self, docs: DataFrame, windows: DataFrame, size: int = WINDOW, lists: int = LISTS):
         """``windows`` has ``window`` and its ``words``, each window once."""
-        self.size = size
+        self.size, self.docs = size, docs
         spark = docs.sparkSession
         terms = [r["term"] for r in windows.select(F.explode("words").alias("term")).distinct().collect()]
         numbers = {t.encode("utf-8", "surrogatepass"): i for i, t in enumerate(sorted(terms))}
+        self.numbers = numbers
         numbered = spark.createDataFrame(list(zip(sorted(terms), range(len(terms)))), "term string, number int")
         counts = numbered.join(term_counts(docs, frozenset(numbers)), "term", "left").select(
             "term", "number", F.coalesce("n", F.lit(0)).alias("n")
@@ -202,23 +203,59 @@ class Search:
         )
 
     def near(self, slop: int) -> DataFrame:
-        """``key, window, start, apart``: the two rarest terms at most ``slop`` words from their places.
+        """``key, window, start, apart``: all words of a window, each at most ``slop`` words from its place.
 
-        ``apart`` is how far the second is from where it would be in the window;
-        0 includes the exact phrases. Starts are compared within cells of
-        ``slop + 1`` words and their neighbours only.
+        Places are counted from an occurrence of the window's rarest term, which
+        gives ``start``; no word of a document stands for two of the window.
+        ``apart`` is how far the word farthest off is from its place; 0 are the
+        exact phrases. A window of one word is found wherever that word occurs.
         """
-        lists = self._adjusted().withColumn("cell", F.floor(F.col("start") / (slop + 1)))
-        first = lists.where("rank = 0").select("window", "key", "start", F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"))
-        second = lists.where("rank = 1").select("window", "key", F.col("start").alias("other"), "cell")
-        apart = F.abs(F.col("start") - F.col("other"))
-        return (
-            first.join(second, ["window", "key", "cell"])
-            .where(apart <= slop)
-            .groupBy("key", "window", "start")
-            .agg(F.min(apart).alias("apart"))
+        rarest = self.windows.select("window", "terms", F.element_at("lists", 1).alias("rarest"))
+        rarest = rarest.select("window", "terms", "rarest.number", "rarest.place", "rarest.term")
+        listed = frozenset(r["term"].encode("utf-8", "surrogatepass") for r in rarest.select("term").distinct().collect())
+        reach = self.size - 1 + slop
+        index = inverted_index(term_postings(self.docs, listed, self.numbers, reach))
+        there = index.join(rarest.drop("term"), index["term"] == rarest["number"]).select(
+            "key", "window", (F.col("position") - F.col("place")).alias("start"), "terms", "place", "context"
         )
 
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [
+                    words_apart(terms, place, context, slop)
+                    for terms, place, context in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5)))
+                ]
+                columns = [*batch.columns[:3], pa.array(found, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "window", "start", "apart"])
+
+        found = there.mapInArrow(compare, "key binary, window string, start bigint, apart int")
+        # Rows that repeat post the same places.
+        return found.where("apart is not null").distinct()
+
+
+def words_apart(terms: list[int], place: int, context: list[int], slop: int) -> int | None:
+    """Least distance, up to ``slop``, within which each term has a word of its own around its place.
+
+    ``context`` has the word at ``place`` in its middle. None where there is no such distance.
+    """
+    middle = len(context) // 2
+    for most in range(slop + 1):
+        last: dict[int, int] = {}
+        for k, term in enumerate(terms):
+            if k == place:
+                continue
+            due = middle + k - place
+            # Equal terms take their words from the left; their places come in the same order.
+            at = max(due - most, last.get(term, -1) + 1)
+            while at <= due + most and (context[at] != term or at == middle):
+                at += 1
+            if at > due + most:
+                break
+            last[term] = at
+        else:
+            return most
+    return None
+
 
 def _searches(spark: SparkSession, docs: DataFrame, windows: DataFrame, size: int) -> list[Search]:
     """A search for each part of the windows; their number is that of the benchmark, not the corpus."""
@@ -228,7 +265,18 @@ def _searches(spark: SparkSession, docs: DataFrame, windows: DataFrame, size: in
     return [Search(docs, each.where(part == i), size) for i in range(passes)]
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+def _named(found: DataFrame, windows: DataFrame, name: str) -> DataFrame:
+    """``key`` and, as ``name``, the sorted ids of the items whose windows were found there."""
+    return (
+        found.select("key", "window")
+        .distinct()
+        .join(windows.select("window", F.col("item_id").cast("string").alias("item")), "window")
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_set("item")).alias(name))
+    )
+
+
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int | None = None) -> DataFrame:
     """``doc_id, n_words, n_hit, items, contaminated`` of every row of ``docs``.
 
     A word is hit when any occurrence of a window covers it; ``items`` are the
@@ -236,6 +284,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     words have no hits. Repeated rows come back repeated with the same result;
     an item without id hits words but is not named; other columns are not looked
     at. Without items nothing is hit; without documents there are no rows.
+
+    With ``slop`` there is one more column, ``near_items``: the ids of items that
+    have a window all of whose words are at most so many words from their places.
     """
     windows = item_windows(items, size)
     searches = _searches(docs.sparkSession, docs, windows, size)
@@ -246,24 +297,22 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0))))
     hits = spans.select("key", fresh.alias("fresh")).groupBy("key").agg(F.sum("fresh").alias("n_hit"))
 
-    named = (
-        found.select("key", "window")
-        .distinct()
-        .join(windows.select("window", F.col("item_id").cast("string").alias("item")), "window")
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
+    named = _named(found, windows, "items")
     texts = searches[0].posted.select("key", "doc_id", "n_words")
     none = F.array().cast("array<string>")
-    return (
+    result = (
         texts.join(hits.join(named, "key"), "key", "left")
         .select(
-            "doc_id", "n_words",
+            "key", "doc_id", "n_words",
             F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
             F.coalesce("items", none).alias("items"),
         )
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
+    if slop is not None:
+        near = _named(reduce(DataFrame.unionAll, [s.near(slop) for s in searches]), windows, "near_items")
+        result = result.join(near, "key", "left").withColumn("near_items", F.coalesce("near_items", none))
+    return result.drop("key")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -81,3 +82,34 @@ def test_clean_documents_stay(spark, documents):
     kept = decontaminate.keep_clean(docs, items)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, "clean"), (2, "a b c d e f g h i"), (3, "")]
+
+
+def test_near_matches_hold_all_words_and_single_words(spark, documents):
+    items = spark.createDataFrame([(1, "red green blue"), (2, "mauve")], "item_id long, text string")
+    docs = documents(
+        [(1, "red green blue"), (2, "x red and green blue"), (2, "x red and green blue"), (3, "red x blue red"),
+         (4, "a mauve b"), (5, "blue red green"), (6, None), (7, "red x x x green blue")]
+    )
+    found = decontaminate.contamination(docs, items, slop=1).select("doc_id", "items", "near_items", "contaminated").collect()
+    near = {r["doc_id"]: (r["items"], r["near_items"]) for r in found}
+    assert len(found) == 8 and "near_items" not in decontaminate.contamination(docs, items).columns
+    assert near == {
+        1: (["1"], ["1"]), 2: ([], ["1"]), 3: ([], []), 4: (["2"], ["2"]), 5: ([], []), 6: ([], []), 7: ([], []),
+    }
+
+
+def test_distances_are_those_of_trying_all_ways():
+    rng = random.Random(8)
+    for _ in range(3000):
+        terms, slop = [rng.randrange(3) for _ in range(rng.randint(1, 4))], rng.randrange(3)
+        reach = 3 + slop
+        context = [rng.randrange(-1, 3) for _ in range(2 * reach + 1)]
+        place = terms.index(rng.choice(terms))
+        context[reach] = terms[place]
+        ways = itertools.product(*([reach] if k == place else range(reach + k - place - slop, reach + k - place + slop + 1) for k in range(len(terms))))
+        far = [
+            max(abs(at - reach - k + place) for k, at in enumerate(way))
+            for way in ways
+            if len(set(way)) == len(way) and all(context[at] == t for at, t in zip(way, terms))
+        ]
+        assert decontaminate.words_apart(terms, place, context, slop) == min(far, default=None)
