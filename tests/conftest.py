@@ -43,14 +43,3 @@ def rows():
         )
 
     return collect
-
-
-def plan_of(df) -> str:
-    """The physical plan as text."""
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("simple")
-    return out.getvalue()

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from tests.helpers import plan_of
 from shopfloor import schemas as S
 from shopfloor.operators import ads
 from shopfloor.operators.hotkeys import find_hot_keys

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from tests.helpers import plan_of
 from shopfloor.operators import forecast as ops
 from shopfloor.plans.forecasting import score_latest, train_and_save, train_forecaster
 

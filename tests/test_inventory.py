@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from tests.helpers import plan_of
 from shopfloor import schemas as S
 from shopfloor.operators.inventory import (
     created_from_parent,

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from tests.helpers import plan_of
 from shopfloor.functions.phone import PREFIXES, known_prefix, normalize_phone, rewrite_prefix
 
 NINE = "912345678"

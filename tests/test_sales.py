@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from conftest import plan_of
+from tests.helpers import plan_of
 from shopfloor import schemas as S
 from shopfloor.operators.sales import Ledger, daily_sales, daily_sales_orders, sales_order
 
