@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bitplanes, caps, chat, decontaminate, packing, repeats, secrets, simhash, toxicity, warc
+from shopfloor.llm import (
+    bitplanes, caps, chat, decontaminate, packing, pii, repeats, secrets, simhash, toxicity, warc,
+)
 from shopfloor.session import materialize, ship_package
 
 
@@ -120,6 +122,21 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, folder, "documents"))
+
+    def number(kind: str) -> Column:
+        wanted = pii.KINDS.index(kind)
+        return F.size(F.filter("known", lambda s: s["kind"] == wanted)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.span_names(F.col("known")).cast("binary"), 256).alias("base_sha256"),
+        pii.span_names(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spherical_caps": op1_spherical_caps,
     "op2_simhash": op2_simhash,
@@ -131,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_planes": op8_bit_planes,
     "op9_warc_bundles": op9_warc_bundles,
     "op10_secrets": op10_secrets,
+    "op12_pii": op12_pii,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
