@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.llm import (
     bitplanes, caps, chat, decontaminate, packing, pii, repeats, secrets, simhash, toxicity, warc,
+    whitening,
 )
 from shopfloor.session import materialize, ship_package
 
@@ -122,6 +123,11 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_pii(_table(spark, folder, "documents"))
 
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_planes": op8_bit_planes,
     "op9_warc_bundles": op9_warc_bundles,
     "op10_secrets": op10_secrets,
+    "op11_whitening": op11_whitening,
     "op12_pii": op12_pii,
 }
 
