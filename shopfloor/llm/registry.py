@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm import (
-    bitplanes, caps, chat, decontaminate, packing, pii, repeats, secrets, simhash, toxicity, warc,
-    whitening,
+    bitplanes, caps, chat, decontaminate, packing, pii, repeats, rtree, secrets, simhash, toxicity,
+    warc, whitening,
 )
 from shopfloor.session import materialize, ship_package
 
@@ -143,6 +143,13 @@ def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    label = F.col("label").cast("long")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return rtree.hard_negatives(moved, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spherical_caps": op1_spherical_caps,
     "op2_simhash": op2_simhash,
@@ -156,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "op11_whitening": op11_whitening,
     "op12_pii": op12_pii,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -227,8 +235,31 @@ SELECT page_id, strlen(html) AS payload_bytes,
 FROM page JOIN first USING (html)
 """
 
+_HARD_NEGATIVES = """
+WITH row AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM row AS a, row AS r WHERE a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+), positive AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
     "op5_chat_formatting": _CHAT,
     "op9_warc_bundles": _WARC,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }
