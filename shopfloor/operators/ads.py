@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.operators.align import unite
-from shopfloor.operators.hotkeys import HotKeys, drop_split, find_hot_keys
+from shopfloor.operators.hotkeys import left_join_all
 
 AD_KEY = ("date_start", "campaign_id", "adset_id", "ad_id")
 REGION_KEY = (*AD_KEY, "region")
@@ -50,23 +50,22 @@ def tracked_actions(ads: DataFrame, actions: str, tracked: Mapping[str, str]) ->
     return ads.select(*REGION_KEY, F.explode(elements).alias("picked")).select(*REGION_KEY, "picked.*").distinct()
 
 
-def ads_report(ads: DataFrame, rankings: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def ads_report(ads: DataFrame, rankings: DataFrame, partitions: int | None = None) -> DataFrame:
     """Every ad-region row with its actions, action values and rankings.
 
     All three are left joins on the ad key, so a row repeats once per
     combination of matching rows; that is the meaning of the report. Rows
-    without a region match no actions. Ads with very many rows are split; they
-    are looked up unless ``hot`` names them. The rankings, whose key differs,
-    come first: later the shuffle for them would have to move the repeated rows.
+    without a region match no actions. The rankings, whose key differs, come
+    first: later the shuffle for them would have to move the repeated rows. Keys
+    whose rows multiply are cut into parts (``partitions``: the number of tasks to
+    balance for).
     """
-    hot = hot or find_hot_keys(ads, AD_KEY)
-    base = hot.spread(ads.select(*dict.fromkeys((*REGION_KEY, *_REPORT))))
+    base = ads.select(*dict.fromkeys((*REGION_KEY, *_REPORT)))
+    ranked = base.join(rankings.select(*AD_KEY, *_RANKINGS), list(AD_KEY), "left")
     counts = tracked_actions(ads, "actions", ACTION_COUNTS)
     values = tracked_actions(ads, "action_values", ACTION_VALUES)
-    joined = hot.left_join(base, rankings.select(*AD_KEY, *_RANKINGS))
-    joined = hot.left_join(joined, counts, REGION_KEY)
-    joined = hot.left_join(joined, values, REGION_KEY)
-    return drop_split(joined).select(*_REPORT, *ACTION_COUNTS, *ACTION_VALUES, *_RANKINGS)
+    joined = left_join_all(ranked, [counts, values], REGION_KEY, partitions)
+    return joined.select(*_REPORT, *ACTION_COUNTS, *ACTION_VALUES, *_RANKINGS)
 
 
 def order_report(report: DataFrame) -> DataFrame:

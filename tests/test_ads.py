@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import plan_of
 from shopfloor import schemas as S
 from shopfloor.operators import ads
-from shopfloor.operators.hotkeys import find_hot_keys
+from shopfloor.operators.hotkeys import cuts, left_join_all, match_counts
 
 D = date(2021, 3, 4)
 BUY, REPLY = "offsite_conversion.fb_pixel_purchase", "onsite_conversion.messaging_first_reply"
@@ -67,22 +67,20 @@ def test_report_repeats_rows_per_combination(insights, rankings, rows):
     assert five == [(None, "f"), (None, "i")]
 
 
-def test_split_ads_give_the_same_report(insights, rankings, rows):
-    plain = ads.ads_report(insights, rankings)
-    split = ads.ads_report(insights, rankings, find_hot_keys(insights, ads.AD_KEY, min_rows=1, partitions=64))
-    assert "_split" in plan_of(split) and "_split" not in plan_of(plain)
-    assert rows(plain) == rows(split)
+def test_cut_ads_give_the_same_report(insights, rankings, rows):
+    plain = ads.ads_report(insights, rankings, partitions=1)
+    for partitions in (8, 1000, 100_000):
+        assert rows(ads.ads_report(insights, rankings, partitions)) == rows(plain)
 
 
-def test_split_report_on_whole_table(spark, data):
+def test_cut_report_on_whole_table(spark, data):
     from shopfloor.catalog import adapters as A
     from shopfloor.catalog.queries import _rankings
 
     base, ranked = A.ADS.frame(spark, data), _rankings(spark, data)
-    plain = ads.ads_report(base, ranked)
-    split = ads.ads_report(base, ranked, find_hot_keys(base, ads.AD_KEY, min_rows=1, partitions=5000))
-    assert "_split" in plan_of(split)
-    assert plain.exceptAll(split).count() == 0 == split.exceptAll(plain).count()
+    plain = ads.ads_report(base, ranked, partitions=1)
+    cut = ads.ads_report(base, ranked, partitions=200_000)
+    assert plain.exceptAll(cut).count() == 0 == cut.exceptAll(plain).count()
 
 
 def test_row_formula_on_whole_table(spark, data):
@@ -130,37 +128,86 @@ def test_order(insights, rankings):
     assert keys == sorted(keys)
 
 
-def test_hot_keys_and_spread(spark):
-    df = spark.range(0, 9000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7))
-        .when(F.col("id") % 3 == 1, None)
-        .when(F.col("id") % 9 == 2, F.lit(8))
-        .otherwise(F.col("id"))
-        .alias("k"),
-        F.lit("copy").alias("v"),
+def test_nothing_runs_while_the_plan_is_made(spark, insights, rankings):
+    status, group = spark.sparkContext.statusTracker(), "ads-plan"
+    spark.sparkContext.setJobGroup(group, "plan only")
+    try:
+        ads.order_report(ads.ads_report(insights, rankings))
+        assert not status.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _made_per_task(df):
+    """Rows that come out of each task of the joins."""
+    return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    """No merging of small partitions, no broadcast: the join's own partitioning shows."""
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_few_rows_with_a_huge_product_spread(spark, fixed_partitions):
+    """Three base rows and two sides of 300 on one key, beside 1,000 plain keys."""
+    base = spark.createDataFrame([(7, i) for i in range(3)] + [(100 + i, 0) for i in range(1000)], "k bigint, b int")
+    one = spark.range(300).select(F.lit(7).cast("bigint").alias("k"), F.col("id").alias("x"))
+    two = spark.range(300).select(F.lit(7).cast("bigint").alias("k"), F.col("id").alias("y"))
+    joined = left_join_all(base, [one, two], ["k"], partitions=16)
+    sizes = _made_per_task(joined.where("k = 7"))
+    assert sum(sizes) == 3 * 300 * 300 and joined.count() == sum(sizes) + 1000
+    assert joined.distinct().count() == joined.count()
+    assert len(sizes) > 10 and max(sizes) < sum(sizes) / 5
+
+
+def test_cuts_follow_the_rows_that_come_out(spark):
+    counts = spark.createDataFrame(
+        [(1, 1, 0, 0), (2, 100_000, 0, 3), (3, 2, 500, 600), (4, 50, 1, 1)], "k bigint, n0 bigint, n1 bigint, n2 bigint"
     )
-    hot = find_hot_keys(df, ["k"], min_rows=100, partitions=24)
-    # A third each for key 7 and for the rows without a key, a ninth for key 8.
-    assert {n: len(found) for n, found in hot.by_splits.items()} == {4: 1, 8: 2}
-    split = hot.spread(df)
-    # Equal copies still spread, by input partition.
-    assert split.where("k = 7").select("_split").distinct().count() > 2
-    assert split.where("k NOT IN (7, 8) AND _split <> 0").count() == 0
-    assert split.where("k = 8").agg(F.max("_split")).first()[0] < 4
-    right = spark.createDataFrame([(7, "x"), (7, "y"), (8, "w"), (5, "z"), (None, "n")], "k bigint, w string")
-    joined = hot.left_join(split, right).drop("_split")
-    plain = df.join(right, "k", "left")
+    hot = {r["k"]: tuple(r)[1:] for r in cuts(counts, ["k"], 2, 16).collect()}
+    # 900,051 rows over 16 tasks: about 56,253 each, a quarter of that to a cell.
+    assert hot == {2: (21, 1, 1), 3: (2, 21, 1)}
+    assert cuts(counts.limit(0), ["k"], 2, 16).count() == 0
+
+
+def test_rows_without_a_key_spread_and_match_nothing(spark, fixed_partitions):
+    base = spark.range(0, 3000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    side = spark.createDataFrame([(0, "x"), (0, "y"), (3, "z"), (None, "n"), (1, "o")], "k bigint, w string")
+    joined = left_join_all(base, [side, side.withColumnRenamed("w", "u")], ["k"], partitions=16)
+    plain = base.join(side, "k", "left").join(side.withColumnRenamed("w", "u"), "k", "left")
+    assert joined.columns == plain.columns
     assert joined.exceptAll(plain).count() == 0 == plain.exceptAll(joined).count()
-    assert joined.count() == 3000 * 2 + 6000
+    sizes = _made_per_task(joined.where("k IS NULL"))
+    assert sum(sizes) == 2000 and len(sizes) > 4 and max(sizes) < 800
 
 
-def test_no_hot_keys_leave_the_join_plain(spark):
-    df = spark.range(1000).select(F.col("id").alias("k"))
-    hot = find_hot_keys(df, ["k"], min_rows=1, partitions=8)
-    assert not hot.by_splits
-    assert hot.spread(df).columns == ["k"] and hot.replicate(df).columns == ["k"]
-    empty = find_hot_keys(df.limit(0), ["k"], min_rows=1)
-    assert not empty.by_splits
+def test_hot_keys_of_every_shape_give_the_plain_join(spark):
+    import random
+
+    rng = random.Random(1)
+    base = spark.createDataFrame([(rng.choice([1, 1, 1, 2, 3, None]), i) for i in range(300)], "k bigint, b int")
+    sides = [
+        spark.createDataFrame([(rng.choice(ks), i) for i in range(n)], f"k bigint, {name} int")
+        for ks, n, name in (([1, 2], 5, "x"), ([2, 4], 40, "y"), ([3, 3, 1, None], 30, "z"))
+    ]
+    plain = base
+    for side in sides:
+        plain = plain.join(side, "k", "left")
+    for partitions in (1, 7, 500):
+        joined = left_join_all(base, sides, ["k"], partitions=partitions)
+        assert joined.exceptAll(plain).count() == 0 == plain.exceptAll(joined).count()
+    assert match_counts(base, sides, ["k"]).where("k IS NULL").count() == 0
 
 
 def test_geo_cost(spark, rows):
