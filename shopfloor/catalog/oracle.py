@@ -45,6 +45,7 @@ ORACLE["daily_sales_orders"] = f"""
     {_SOLD} AND t.trandate >= DATE '2001-08-02' - 30
     GROUP BY t.trandate ORDER BY 1
 """
+ORACLE["sales_order_bucketed"] = ORACLE["sales_order"]
 ORACLE["conform_schema"] = f"""
     SELECT trandate AS "TRANDATE", tranid AS "TRANID", customer_phone AS "CUSTOMER_PHONE",
            CAST(location_id AS DOUBLE) AS "LOCATION_ID", item_count AS "ITEM_COUNT",
@@ -290,6 +291,24 @@ ORACLE["ads_actions_unnest"] = _picked(
 ORACLE["ads_action_values_unnest"] = _picked(
     "action_values", {"offline_conversion_purchase_value": "offsite_conversion.fb_pixel_purchase"}
 )
+ORACLE["ads_actions_files"] = ORACLE["ads_actions_unnest"]
+
+
+def _listed(column: str, kind: str) -> str:
+    """Sum of the values of one type inside the array."""
+    found = f"list_filter({column}, lambda a: a.value.action_type = '{kind}')"
+    return f"CAST(list_sum(list_transform({found}, lambda a: a.value.value)) AS BIGINT)"
+
+
+ORACLE["ads_actions_wide"] = f"""
+    SELECT date_start, campaign_id, adset_id, ad_id, campaign_name, adset_name, ad_name, region, reach, cpm,
+           frequency, objective, spend,
+           {_listed('actions', 'offsite_conversion.fb_pixel_purchase')} AS offline_conversion_purchase,
+           {_listed('actions', 'onsite_conversion.messaging_first_reply')} AS new_messaging_conversations,
+           {_listed('actions', 'comment')} AS comments,
+           {_listed('action_values', 'offsite_conversion.fb_pixel_purchase')} AS offline_conversion_purchase_value
+    FROM {A.ADS.sql()}
+"""
 _RANKED = f"""
     SELECT date_start, campaign_id, adset_id, ad_id, MIN(event_type) AS conversion_rate_ranking,
            MAX(event_type) AS engagement_rate_ranking, CAST(COUNT(*) AS VARCHAR) AS quality_ranking
@@ -423,17 +442,30 @@ ORACLE["forecast_metrics"] = f"""
 # --- loads ----------------------------------------------------------------------
 
 _LOADED = (
-    ("sales_order", "sales_order", 6),
-    ("tickets", "ticket_projection", 15),
-    ("ticket_custom_fields", "custom_field_labels", 3),
-    ("call_logs", "call_log_projection", 13),
-    ("leads", "lead_union", 14),
+    ("sales_order", "sales_order", 6, None),
+    ("tickets", "ticket_projection", 15, "care_soft_ticket_id"),
+    ("ticket_custom_fields", "custom_field_labels", 3, "ticket_id"),
+    ("call_logs", "call_log_projection", 13, "call_id"),
+    ("leads", "lead_union", 14, None),
 )
+
+
+def _repeated(query: str, key: str | None) -> str:
+    if key is None:
+        return "CAST(NULL AS BIGINT)"
+    return f"(SELECT COUNT(*) FILTER (n > 1) FROM (SELECT {key}, COUNT(*) AS n FROM ({ORACLE[query]}) GROUP BY {key}))"
+
+
+# Only the contacts' date texts come in forms that may be unreadable.
+_UNREADABLE = f"""(SELECT COUNT(*) FILTER (date IS NOT NULL AND try_strptime(date, '%d/%m/%Y') IS NULL)
+    FROM {A.MESSAGES.sql()})"""
 ORACLE["load_audit"] = " UNION ALL ".join(
-    f"""SELECT '{table}' AS "table", COUNT(*) AS n_rows, CAST({columns} AS INT) AS n_cols
+    f"""SELECT '{table}' AS "table", COUNT(*) AS n_rows, CAST({columns} AS INT) AS n_cols,
+            CAST({_UNREADABLE if table == 'leads' else 0} AS BIGINT) AS n_bad, {_repeated(query, key)} AS n_repeated
         FROM ({ORACLE[query]})"""
-    for table, query, columns in _LOADED
+    for table, query, columns, key in _LOADED
 )
+ORACLE["stock_carried"] = ORACLE["stock_snapshot"]
 
 # --- streams --------------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from shopfloor.functions import dates, phone, text
 from shopfloor.operators import ads, forecast, inventory, leads, sales, stores, tickets, training
 from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
-from shopfloor.sinks import export_sheet
-from shopfloor.sources import read_csv, read_json_lines
+from shopfloor.sinks import export_sheet, write_bucketed
+from shopfloor.sources import read_csv, read_json_lines, read_table
 from shopfloor.streaming import lead_append as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +27,12 @@ STOCK_RULE = inventory.StockRule(
     accounts=(3, 4, 5, 6, 7), types=("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
 )
 STOCK_AS_OF = "2001-01-01"
+STOCK_DAYS = ("2000-12-30", "2000-12-31", STOCK_AS_OF)
 SALES_AS_OF = "2001-08-02"
 POST_TYPE = "1-URGENT"
 HOTLINE = "1900"
 SERIES = ("location_id",)
+LEDGER_BUCKETS = 8
 
 QUERIES: dict[str, Query] = {}
 
@@ -56,6 +59,19 @@ def sales_order(spark, folder):
     return sales.sales_order(_ledger(spark, folder), SALES_RULE)
 
 
+@_register
+def sales_order_bucketed(spark, folder):
+    """Sales orders over a ledger that is stored by transaction."""
+    base, tables = fresh_folder(spark, "ledger"), _ledger(spark, folder)
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        table = f"{name}_{base.rsplit('-', 1)[-1]}"
+        return write_bucketed(df, table, f"{base}/{name}", "transaction_id", LEDGER_BUCKETS)
+
+    kept = replace(tables, lines=stored("lines", tables.lines), headers=stored("headers", tables.headers))
+    return sales.sales_order(kept, SALES_RULE)
+
+
 @_register
 def daily_sales(spark, folder):
     return sales.daily_sales(_ledger(spark, folder), SALES_RULE).orderBy("trandate")
@@ -103,6 +119,18 @@ def stock_snapshot(spark, folder):
     )
 
 
+@_register
+def stock_carried(spark, folder):
+    """The snapshot by three daily runs, each from the balances the one before left."""
+    path = fresh_folder(spark, "stock-carried")
+    lines, headers = A.LINES.frame(spark, folder), A.HEADERS.frame(spark, folder)
+    for as_of in STOCK_DAYS:
+        loads.carry_stock_snapshot(spark, lines, headers, as_of, path, STOCK_RULE)
+    return schemas.conform(
+        spark.read.schema(schemas.INVENTORY_VALUATION).parquet(f"{path}/days"), schemas.INVENTORY_VALUATION
+    )
+
+
 @_register
 def self_join_parent(spark, folder):
     return inventory.created_from_parent(A.HEADERS.frame(spark, folder))
@@ -355,6 +383,20 @@ def ads_actions_join(spark, folder):
     return ads.order_report(ads.ads_report(A.ADS.frame(spark, folder), _rankings(spark, folder)))
 
 
+@_register
+def ads_actions_wide(spark, folder):
+    return ads.ads_wide(A.ADS.frame(spark, folder))
+
+
+@_register
+def ads_actions_files(spark, folder):
+    """The actions read from landed files whose records have more fields than the contract."""
+    path = fresh_folder(spark, "ads-files")
+    more = F.transform("actions", lambda a: F.struct(a["value"].withField("window", F.lit("28d")).alias("value"), F.lit(1).alias("rank")))
+    A.ADS.frame(spark, folder).withColumn("actions", more).write.parquet(path)
+    return ads.tracked_actions(read_table(spark, path, schemas.ADS_INSIGHTS_REGION), "actions", ads.ACTION_COUNTS)
+
+
 @_register
 def ads_geo_cost(spark, folder):
     frames = {name: adapter.frame(spark, folder) for name, adapter in A.GEO_ACCOUNTS.items()}
@@ -553,7 +595,7 @@ def load_audit(spark, folder):
         ticket_fields=A.CUSTOM_FIELDS.frame(spark, folder),
         field_labels=_label_documents(spark, folder),
         call_logs=A.CALLS.frame(spark, folder),
-        leads=lead_union(spark, folder),
+        leads=leads.lead_union(*_lead_sources(spark, folder), problems=True),
     )
     return loads.load_warehouse(
         spark, fresh_folder(spark, "warehouse"), loads.nightly_tables(sources, SALES_RULE)
@@ -573,8 +615,11 @@ def lead_append(spark, folder):
 def first_calls_append(spark, folder):
     """First call per person, click id, campaign and day, by the stream."""
     base = fresh_folder(spark, "first-calls")
-    A.ALL_SALES_CALLS.frame(spark, folder).write.parquet(f"{base}/landed")
-    streaming.append_first_calls(
-        spark, f"{base}/landed", f"{base}/raw", f"{base}/calls", f"{base}/state"
-    ).awaitTermination()
+    # Three runs, each with a third of the calls of every day.
+    for turn in range(3):
+        calls = A.ALL_SALES_CALLS.frame(spark, folder).where(F.pmod(F.hash("salescall_id"), F.lit(3)) == turn)
+        calls.write.mode("append").parquet(f"{base}/landed")
+        streaming.append_first_calls(
+            spark, f"{base}/landed", f"{base}/staged", f"{base}/calls", f"{base}/state"
+        ).awaitTermination()
     return schemas.conform(spark.read.schema(schemas.LEAD_EXPORT).parquet(f"{base}/calls"), schemas.LEAD_EXPORT)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,12 @@ def local_day(moment: Column, hours: int = 7) -> Column:
     return (moment + F.expr(f"INTERVAL '{int(hours)}' HOUR")).cast("date")
 
 
+def local_day_start(day: date, hours: int = 7) -> Column:
+    """The moment on the source clock at which a local day begins, as a literal."""
+    moment = datetime.combine(day, time()) - timedelta(hours=hours)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

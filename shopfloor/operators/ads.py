@@ -68,6 +68,27 @@ def ads_report(ads: DataFrame, rankings: DataFrame, partitions: int | None = Non
     return joined.select(*_REPORT, *ACTION_COUNTS, *ACTION_VALUES, *_RANKINGS)
 
 
+def ads_wide(ads: DataFrame) -> DataFrame:
+    """Every ad-region row once, with the total of each tracked action and action value.
+
+    Another result than ``ads_report``: nothing is exploded or joined, so rows
+    neither repeat nor move. A type that a row does not have is null; equal
+    elements of one row all count, elements without a value do not.
+    """
+
+    def total(actions: str, kind: str) -> Column:
+        found = F.filter(actions, lambda a: (a["value"]["action_type"] == kind) & a["value"]["value"].isNotNull())
+        nothing = F.lit(None).cast("bigint")
+        return F.aggregate(found, nothing, lambda sum_, a: F.coalesce(sum_, F.lit(0)) + a["value"]["value"])
+
+    totals = [
+        total(actions, kind).alias(name)
+        for actions, tracked in (("actions", ACTION_COUNTS), ("action_values", ACTION_VALUES))
+        for name, kind in tracked.items()
+    ]
+    return ads.select(*AD_KEY, *_REPORT[1:], *totals)
+
+
 def order_report(report: DataFrame) -> DataFrame:
     """Newest day first, then names and region.
 

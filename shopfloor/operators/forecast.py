@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shopfloor.functions.scaling import scale, unscale
+from shopfloor.sinks.versions import current, publish
 
 # Window length and holdout length in days.
 LAGS = 30
@@ -184,14 +185,22 @@ class Forecaster:
     keys: tuple[str, ...]
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
-        self.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+        """Replace the saved state; model and scaler change together or not at all."""
+
+        def write(folder: str) -> None:
+            self.model.write().save(f"{folder}/model")
+            self.scaler.write.parquet(f"{folder}/scaler")
+
+        publish(self.scaler.sparkSession, path, write)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Forecaster:
-        scaler = spark.read.parquet(f"{path}/scaler")
+        folder = current(spark, path)
+        if folder is None:
+            raise FileNotFoundError(f"no forecaster was saved in {path}")
+        scaler = spark.read.parquet(f"{folder}/scaler")
         keys = tuple(c for c in scaler.columns if c not in ("low", "high"))
-        return cls(LinearRegressionModel.load(f"{path}/model"), scaler, keys)
+        return cls(LinearRegressionModel.load(f"{folder}/model"), scaler, keys)
 
 
 def fit_model(windows: DataFrame, penalty: float = 1e-4, lags: int = LAGS) -> LinearRegressionModel:

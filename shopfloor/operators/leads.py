@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions.dates import day_text, parse_day_first, parse_zoned_as_utc
@@ -31,12 +31,17 @@ def hotline_calls(calls: DataFrame, hotline: str, status_prefix: str = "C") -> D
     )
 
 
+def unreadable(text: Column, parsed: Column) -> Column:
+    """``problem``: the date text that no rule could read, which the load makes null."""
+    return F.when(text.isNotNull() & parsed.isNull(), text).alias("problem")
+
+
 def message_leads(messages: DataFrame) -> DataFrame:
     """Chat contacts with a day-first date text."""
     moment = parse_day_first(F.col("date"))
     return messages.select(
         "name", "phone", moment.cast("date").alias("date"), moment.alias("dt"),
-        F.lit(MESSAGES).alias("channel"),
+        F.lit(MESSAGES).alias("channel"), unreadable(F.col("date"), moment),
     )
 
 
@@ -55,6 +60,7 @@ def shop_form_leads(leads: DataFrame) -> DataFrame:
         leads.withColumnsRenamed(
             {"First Subscribed On": "dt", "Phone Number": "phone", "Email": "email"}
         )
+        .withColumn("problem", unreadable(F.col("dt"), parse_zoned_as_utc(F.col("dt"))))
         .withColumn("dt", parse_zoned_as_utc(F.col("dt")))
         .withColumns({"date": F.col("dt").cast("date"), "source": F.lit(SHOP_FORM)})
     )
@@ -83,10 +89,11 @@ def lead_union(
     second_partner_forms: DataFrame,
     shop_forms: DataFrame,
     desk_calls: DataFrame,
+    problems: bool = False,
 ) -> DataFrame:
     """The whole funnel from shaped and raw sources, with phones normalised."""
     rows = lead_rows(
-        calls, messages, ad_forms, partner_forms, second_partner_forms, shop_forms, desk_calls
+        calls, messages, ad_forms, partner_forms, second_partner_forms, shop_forms, desk_calls, problems
     )
     return rows.withColumn("phone", normalize_phone(F.col("phone")))
 
@@ -99,11 +106,13 @@ def lead_rows(
     second_partner_forms: DataFrame,
     shop_forms: DataFrame,
     desk_calls: DataFrame,
+    problems: bool = False,
 ) -> DataFrame:
     """All sources in the shape of the target, phones as they came.
 
     The second partner carries the label of the house ads, as in the source
-    rule. No shuffle: every branch is a scan and a projection.
+    rule. No shuffle: every branch is a scan and a projection. With ``problems``
+    there is one more column, the date text that could not be read.
     """
     forms = unite(
         ad_leads(ad_forms, AD_FORM),
@@ -113,7 +122,8 @@ def lead_rows(
         sales_call_leads(desk_calls),
     ).withColumn("channel", F.lit(FORMS))
     everything = unite(calls, message_leads(messages), forms)
-    return everything.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEADS])
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LEADS]
+    return everything.select(*columns, *(["problem"] if problems else []))
 
 
 def lead_dedup(calls: DataFrame) -> DataFrame:
@@ -122,10 +132,14 @@ def lead_dedup(calls: DataFrame) -> DataFrame:
     An aggregate instead of a ranked window: tasks drop copies before the
     shuffle, so a key with very many copies costs one row per task.
     """
+    return first_of_day(calls.withColumn("created_at", day_text(F.col("created_at"))))
+
+
+def first_of_day(calls: DataFrame) -> DataFrame:
+    """The same for calls whose time is a day already. First calls of parts give those of the whole."""
     keys = ["customer_name", "customer_tel", "gclid", "campain", "created_at"]
     return (
-        calls.withColumn("created_at", day_text(F.col("created_at")))
-        .groupBy(*keys)
+        calls.groupBy(*keys)
         .agg(F.min(F.struct("salescall_id", "customer_email")).alias("first"))
         .select(
             "first.salescall_id", "customer_name", "customer_tel", "first.customer_email",

@@ -93,10 +93,10 @@ def nightly_load(
     target: str,
     rule: sales.SalesRule = sales.SalesRule(),
 ) -> DataFrame:
-    """Overwrite the five warehouse tables; returns the audit."""
+    """Replace the five warehouse tables; returns rows, columns, bad dates and repeated ids of each."""
     read = inputs.support
     leads = loads.lead_funnel(
-        spark, inputs.lead_files, read("hotline_calls"), read("sales_calls"), inputs.hotline
+        spark, inputs.lead_files, read("hotline_calls"), read("sales_calls"), inputs.hotline, problems=True
     )
     sources = loads.Sources(
         ledger=read_ledger(ledger),
@@ -117,6 +117,19 @@ def stock_load(
     )
 
 
+def daily_stock_load(
+    spark: SparkSession,
+    ledger: Reader,
+    as_of: str,
+    target: str,
+    rule: inventory.StockRule = inventory.StockRule(),
+) -> None:
+    """The stock snapshot by the days that are new since the last run."""
+    loads.carry_stock_snapshot(
+        spark, ledger("transaction_lines"), ledger("transactions"), as_of, target, rule
+    )
+
+
 def sheet_exports(shop: Reader, landing: Reader, post_type: str, target: str) -> dict[str, int]:
     """Lead and post sheets; returns the rows written."""
     return {

@@ -6,14 +6,16 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shopfloor import schemas
 from shopfloor.functions.dates import parse_month_first
 from shopfloor.operators import inventory, leads, sales, tickets, training
-from shopfloor.sinks import export_sheet, load_audit, overwrite_by_day, overwrite_table
+from shopfloor.schemas import conform
+from shopfloor.session import materialize
+from shopfloor.sinks import current, export_sheet, overwrite_by_day, publish, read_current, write_parts
 from shopfloor.sources import read_csv
 
 # Lines of the target ranges, header included, and the headers of
@@ -25,23 +27,61 @@ MESSAGE_HEADERS = {"Tên": "name", "Phone(raw)": "phone", "Date(raw)": "date"}
 
 @dataclass(frozen=True)
 class Load:
-    """One target table; ``day`` names the column of a day-partitioned one."""
+    """One target table.
+
+    ``day`` names the column of a day-partitioned one, ``key`` an id that should
+    not repeat, ``problem`` a column that says what was wrong with a row (null:
+    nothing); rows that have one are kept apart as well.
+    """
 
     frame: DataFrame
     schema: StructType
     day: str | None = None
+    key: str | None = None
+    problem: str | None = None
+
+    @property
+    def rejected_schema(self) -> StructType:
+        return StructType([*self.schema.fields, StructField(self.problem or "problem", StringType())])
+
+
+def _replace(spark: SparkSession, path: str, load: Load) -> int:
+    """Make the frame the current version of its table; returns the rows with a problem.
+
+    They are counted while the rows are written, not in a scan of their own.
+    """
+    if load.problem is None:
+        publish(spark, path, lambda folder: write_parts(conform(load.frame, load.schema), folder, day=load.day))
+        return 0
+    seen = Observation()
+    rows = conform(load.frame, load.rejected_schema).observe(seen, F.count(load.problem).alias("bad"))
+    publish(spark, path, lambda folder: write_parts(rows, folder, load.problem, load.day))
+    return seen.get["bad"]
 
 
 def load_warehouse(spark: SparkSession, folder: str, tables: Mapping[str, Load]) -> DataFrame:
-    """Overwrite every table below ``folder`` and return the audit of what was committed."""
-    paths = {}
-    for name, load in tables.items():
-        paths[name] = f"{folder}/{name}"
-        if load.day:
-            overwrite_by_day(load.frame, paths[name], load.schema, load.day)
-        else:
-            overwrite_table(load.frame, paths[name], load.schema)
-    return load_audit(spark, paths)
+    """Replace every table below ``folder``: ``(table, n_rows, n_cols, n_bad, n_repeated)``.
+
+    Each table is switched as a whole once it is written. Rows and columns are read
+    back from the current versions (footers only, not thrown off by tasks that ran
+    twice); ``n_bad`` rows had a problem and are found as the part ``rejected`` of
+    their table; ``n_repeated`` keys occur more than once (null: no key is named).
+    """
+
+    def audit(name: str, load: Load) -> DataFrame:
+        path = f"{folder}/{name}"
+        bad = _replace(spark, path, load)
+        rows = read_current(spark, path, load.schema)
+        repeated = F.lit(None).cast("bigint")
+        if load.key:
+            keys = rows.groupBy(load.key).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1))
+            repeated = keys.scalar()
+        return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table"), "n_rows", F.lit(len(load.schema)).cast("int").alias("n_cols"),
+            F.lit(bad).cast("bigint").alias("n_bad"), repeated.alias("n_repeated"),
+        )
+
+    return reduce(DataFrame.unionAll, [audit(name, load) for name, load in tables.items()])
 
 
 @dataclass(frozen=True)
@@ -56,13 +96,21 @@ class LeadFiles:
 
 
 def lead_funnel(
-    spark: SparkSession, files: LeadFiles, hotline_calls: DataFrame, desk_calls: DataFrame, hotline: str
+    spark: SparkSession,
+    files: LeadFiles,
+    hotline_calls: DataFrame,
+    desk_calls: DataFrame,
+    hotline: str,
+    problems: bool = False,
 ) -> DataFrame:
-    """All lead sources, from landed files and the two call tables, as one table."""
+    """All lead sources, from landed files and the two call tables, as one table; see ``lead_rows``."""
 
     def forms(path: str, *extra: str) -> DataFrame:
         df = read_csv(spark, path, ["Date", "Name", "Phone", "Email", *extra])
-        return df.withColumn("Date", parse_month_first(F.col("Date")))
+        moment = parse_month_first(F.col("Date"))
+        return df.select(
+            moment.alias("Date"), "Name", "Phone", "Email", *extra, leads.unreadable(F.col("Date"), moment)
+        )
 
     return leads.lead_union(
         calls=leads.hotline_calls(hotline_calls, hotline),
@@ -72,6 +120,7 @@ def lead_funnel(
         second_partner_forms=forms(files.second_partner_forms, "Gclid"),
         shop_forms=read_csv(spark, files.shop_forms, schemas.SHOP_FORM_CSV.names),
         desk_calls=desk_calls,
+        problems=problems,
     )
 
 
@@ -106,7 +155,7 @@ def repeated_ids(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sources:
-    """Frames behind the nightly warehouse load."""
+    """Frames behind the nightly warehouse load; leads with or without their problems."""
 
     ledger: sales.Ledger
     tickets: DataFrame
@@ -122,10 +171,16 @@ def nightly_tables(sources: Sources, rule: sales.SalesRule = sales.SalesRule())
     fields = tickets.label_custom_fields(tickets.custom_field_codes(sources.ticket_fields), *labels)
     return {
         "sales_order": Load(sales.sales_order(sources.ledger, rule), schemas.SALES_ORDER),
-        "tickets": Load(tickets.ticket_projection(sources.tickets), schemas.TICKETS),
-        "ticket_custom_fields": Load(fields, schemas.TICKET_CUSTOM_FIELDS),
-        "call_logs": Load(tickets.call_log_projection(sources.call_logs), schemas.CALL_LOGS),
-        "leads": Load(sources.leads, schemas.LEADS),
+        "tickets": Load(
+            tickets.ticket_projection(sources.tickets), schemas.TICKETS, key="care_soft_ticket_id"
+        ),
+        "ticket_custom_fields": Load(fields, schemas.TICKET_CUSTOM_FIELDS, key="ticket_id"),
+        "call_logs": Load(
+            tickets.call_log_projection(sources.call_logs), schemas.CALL_LOGS, key="call_id"
+        ),
+        "leads": Load(
+            sources.leads, schemas.LEADS, problem="problem" if "problem" in sources.leads.columns else None
+        ),
     }
 
 
@@ -141,6 +196,47 @@ def load_stock_snapshot(
     overwrite_by_day(snapshot, path, schemas.INVENTORY_VALUATION, "create_date")
 
 
+def carry_stock_snapshot(
+    spark: SparkSession,
+    lines: DataFrame,
+    headers: DataFrame,
+    as_of: str,
+    path: str,
+    rule: inventory.StockRule = inventory.StockRule(),
+) -> None:
+    """The same snapshot by what is new since the last run; other days are not touched.
+
+    ``<path>/opening`` is the state: the last closed day and the balances at its
+    end. Headers of later local days alone are read; their days are written anew
+    below ``<path>/days``, and then the state moves on to the last day that is
+    over. The day under way stays open and is written again by the next run. A run
+    that failed, or the same ``as_of`` again, repeats the same days.
+    """
+    closed, opening = None, spark.createDataFrame([], schemas.OPENING_BALANCES)
+    folder = current(spark, f"{path}/opening")
+    if folder:
+        closed = spark.read.parquet(f"{folder}/closed").first()["day"]
+        opening = spark.read.schema(schemas.OPENING_BALANCES).parquet(f"{folder}/balances")
+    movement = materialize(inventory.stock_movement(lines, headers, as_of, rule, after=closed), "movement")
+    snapshot = conform(inventory.carry_forward(opening, movement), schemas.INVENTORY_VALUATION)
+    (
+        snapshot.hint("rebalance", F.col("create_date"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("create_date")
+        .parquet(f"{path}/days")
+    )
+    last = inventory.last_closed_day(as_of)
+    if closed is not None and last <= closed:
+        return
+
+    def write(state: str) -> None:
+        inventory.close_day(opening, movement, last).write.parquet(f"{state}/balances")
+        spark.createDataFrame([(last,)], "day date").coalesce(1).write.parquet(f"{state}/closed")
+
+    publish(spark, f"{path}/opening", write)
+
+
 def export_training(responses: DataFrame, path: str) -> int:
     return export_sheet(training.trainer_rows(responses).drop("position"), path, TRAINING_LINES)
 

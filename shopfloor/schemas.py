@@ -99,6 +99,9 @@ INVENTORY_VALUATION = _schema(
     create_date=_DATE, location_id=_LONG, item_id=_LONG, item_count=_LONG, net_amount=_LONG, shift=_DATE,
     date_diff=_DOUBLE, som=_DATE, som_date_diff=_LONG,
 )
+OPENING_BALANCES = _schema(
+    location_id=_LONG, item_id=_LONG, item_count=T.DecimalType(38, 4), net_amount=T.DecimalType(38, 4), last_day=_DATE,
+)
 LEAD_EXPORT = _schema(
     salescall_id=_LONG, customer_name=_TEXT, customer_tel=_TEXT, customer_email=_TEXT, gclid=_TEXT,
     campain=_TEXT, created_at=_TEXT,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import plan_of
 from shopfloor import schemas as S
 from shopfloor.operators import ads
+from shopfloor.sources import read_table
 from shopfloor.operators.hotkeys import cuts, left_join_all, match_counts
 
 D = date(2021, 3, 4)
@@ -210,6 +211,34 @@ def test_hot_keys_of_every_shape_give_the_plain_join(spark):
     assert match_counts(base, sides, ["k"]).where("k IS NULL").count() == 0
 
 
+def test_wide_totals(insights, rows):
+    names = [*ads.ACTION_COUNTS, *ads.ACTION_VALUES]
+    wide = ads.ads_wide(insights)
+    assert rows(wide, "ad_id", "spend", *names) == [
+        (1, 1.0, None, None, None, 100), (2, 1.0, None, None, None, None), (3, 1.0, None, None, None, None),
+        (4, 1.0, 4, None, 3, 50), (4, 2.0, None, None, 3, None), (5, 1.0, None, 4, None, 5),
+    ]
+    plan = plan_of(wide)
+    assert "Exchange" not in plan and "Generate" not in plan and "Join" not in plan
+
+
+def test_files_with_more_nested_fields_are_read_to_the_contract(spark, insights, tmp_path, rows):
+    path = str(tmp_path / "ads")
+    more = F.transform("actions", lambda a: F.struct(F.lit("x").alias("kind"), a["value"].withField("window", F.lit("28d")).alias("value")))
+    insights.withColumn("actions", more).withColumn("extra", F.lit(1)).write.parquet(path)
+    read = ads.tracked_actions(read_table(spark, path, S.ADS_INSIGHTS_REGION), "actions", ads.ACTION_COUNTS)
+    assert rows(read) == rows(ads.tracked_actions(insights, "actions", ads.ACTION_COUNTS))
+    length = "spark.sql.maxMetadataStringLength"
+    spark.conf.set(length, "2000")
+    try:
+        schema = plan_of(ads.tracked_actions(read_table(spark, path, S.ADS_INSIGHTS_REGION), "actions", ads.ACTION_COUNTS))
+    finally:
+        spark.conf.unset(length)
+    schema = schema.split("ReadSchema: ")[1].split("\n")[0]
+    assert "array<struct<value:struct<action_type:string,value:bigint>>>" in schema
+    assert not any(name in schema for name in ("window", "kind", "extra", "spend", "action_values"))
+
+
 def test_geo_cost(spark, rows):
     row = (D, "c", "g", 1, 10, 1, 2_000_000, 0.5, 0.25)
     usd = spark.createDataFrame([row], S.GEO_PERFORMANCE)

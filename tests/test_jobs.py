@@ -6,11 +6,14 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopfloor import schemas as S
 from shopfloor.operators import inventory, sales
 from shopfloor.plans import jobs
+from shopfloor.plans import loads as nightly
 from shopfloor.plans.loads import LeadFiles
+from shopfloor.sinks import read_current
 
 T = datetime(2021, 3, 4, 5, 6)
 
@@ -45,8 +48,8 @@ def landed(spark, tmp_path_factory):
     (root / "fields.json").write_text(json.dumps({"custom_fields": [
         {"values": [{"id": 1, "lable": "new"}]}, {"values": [{"id": 7, "lable": "taken"}]}]}))
     files = {
-        "messages": "Tên,Phone(raw),Date(raw)\nan,0912345678,31/12/2020\n",
-        "ad_forms": "Date,Name,Phone,Email\n2021-03-04,b,912345678,b@x\n",
+        "messages": "Tên,Phone(raw),Date(raw)\nan,0912345678,31/12/2020\nbo,0912345679,2020/31\n",
+        "ad_forms": "Date,Name,Phone,Email\n2021-03-04,b,912345678,b@x\nsoon,c,912345670,c@x\n",
         "partner_forms": "Date,Name,Phone,Email,Gclid\n",
         "second_partner_forms": "Date,Name,Phone,Email,Gclid\n",
         "shop_forms": "First Subscribed On,Phone Number,Email,gclid,initial_utm_medium,initial_utm_source\n",
@@ -68,10 +71,42 @@ def test_nightly_load(spark, landed, read, tmp_path, rows):
     inputs = jobs.Nightly(read, str(landed / "fields.json"), files, "1900")
     audit = jobs.nightly_load(spark, read, inputs, str(tmp_path))
     assert rows(audit) == [
-        ("call_logs", 1, 13), ("leads", 5, 14), ("sales_order", 120, 6),
-        ("ticket_custom_fields", 2, 3), ("tickets", 1, 15),
+        ("call_logs", 1, 13, 0, 0), ("leads", 7, 14, 2, None), ("sales_order", 120, 6, 0, None),
+        ("ticket_custom_fields", 2, 3, 0, 0), ("tickets", 1, 15, 0, 0),
     ]
-    assert rows(spark.read.parquet(str(tmp_path / "ticket_custom_fields"))) == [(1, "new", "taken"), (2, None, None)]
+    labels = read_current(spark, str(tmp_path / "ticket_custom_fields"), S.TICKET_CUSTOM_FIELDS)
+    assert rows(labels) == [(1, "new", "taken"), (2, None, None)]
+    # Leads whose date no rule could read are loaded without one, and kept apart with what it said.
+    leads = nightly.Load(None, S.LEADS, problem="problem")
+    apart = read_current(spark, str(tmp_path / "leads"), leads.rejected_schema, "rejected")
+    assert rows(apart, "name", "dt", "problem") == [("bo", None, "2020/31"), ("c", None, "soon")]
+    whole = read_current(spark, str(tmp_path / "leads"), S.LEADS)
+    assert whole.where("dt IS NULL").count() == 2
+
+
+def test_a_failed_load_leaves_the_old_tables(spark, landed, read, tmp_path, rows):
+    path = str(tmp_path)
+
+    def load(frame):
+        return nightly.load_warehouse(spark, path, {"labels": nightly.Load(frame, S.TICKET_CUSTOM_FIELDS, key="ticket_id")})
+
+    good = spark.createDataFrame([(1, "a", "b"), (1, "a", "c")], S.TICKET_CUSTOM_FIELDS)
+    assert rows(load(good)) == [("labels", 2, 3, 0, 1)]
+    held = read_current(spark, f"{path}/labels", S.TICKET_CUSTOM_FIELDS)
+    broken = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("mid-write"))).otherwise(F.col("id")).cast("bigint").alias("ticket_id"),
+        F.lit("x").alias("trang_thai_cham_soc"), F.lit("y").alias("trang_thai_tiep_nhan"),
+    )
+    with pytest.raises(Exception, match="mid-write"):
+        load(broken)
+    assert rows(read_current(spark, f"{path}/labels", S.TICKET_CUSTOM_FIELDS)) == rows(good)
+    assert [p.name for p in (tmp_path / "labels").iterdir() if p.name.startswith("v")] == [held.inputFiles()[0].split("/")[-3]]
+    # A reader that began before the next load still finds its version; the one before that is gone.
+    load(good.limit(0))
+    assert rows(held) == rows(good)
+    assert read_current(spark, f"{path}/labels", S.TICKET_CUSTOM_FIELDS).count() == 0
+    load(good.limit(1))
+    assert len([p for p in (tmp_path / "labels").iterdir() if p.name.startswith("v")]) == 2
 
 
 def test_stock_load(spark, read, tmp_path):
@@ -82,6 +117,17 @@ def test_stock_load(spark, read, tmp_path):
     assert back.agg({"item_count": "min"}).first()[0] == -15
 
 
+def test_daily_stock_load_equals_the_whole_snapshot(spark, read, tmp_path, rows):
+    """Runs on days that follow each other, one of them twice, and after a pause."""
+    path = str(tmp_path / "carried")
+    for as_of in ("2021-01-10", "2021-01-11", "2021-01-11", "2021-01-12", "2021-02-20"):
+        jobs.daily_stock_load(spark, read, as_of, path)
+        jobs.stock_load(read, as_of, str(tmp_path / "whole"))
+        names = S.INVENTORY_VALUATION.names
+        whole = rows(spark.read.schema(S.INVENTORY_VALUATION).parquet(str(tmp_path / "whole")).select(*names))
+        assert rows(spark.read.schema(S.INVENTORY_VALUATION).parquet(f"{path}/days").select(*names)) == whole != []
+
+
 def test_exports(spark, landed, read, tmp_path):
     assert jobs.sheet_exports(read, read, "gift", str(tmp_path)) == {"leads": 1, "posts": 2}
     assert jobs.training_export(spark, str(landed / "training.csv"), str(tmp_path / "training")) == 2

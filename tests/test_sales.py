@@ -73,3 +73,25 @@ def test_header_join_is_inner_and_lines_are_combined_first(tables):
     assert "LeftSemi" in plan
     join, before = plan.index("Inner"), plan.index("partial_sum(cast(net_amount")
     assert join < before  # deeper in the tree, so earlier in the run
+
+
+def test_bucketed_ledger_joins_without_a_shuffle(spark, data, tmp_path):
+    from dataclasses import replace
+
+    from shopfloor.catalog.queries import SALES_RULE, _ledger
+    from shopfloor.sinks import write_bucketed
+
+    tables = _ledger(spark, data)
+    stored = {
+        name: write_bucketed(getattr(tables, name), f"bucketed_{name}", str(tmp_path / name), "transaction_id", 8)
+        for name in ("lines", "headers")
+    }
+    # As for a ledger too large to broadcast.
+    kept = replace(tables, lines=stored["lines"], headers=stored["headers"].hint("merge"))
+    orders = sales_order(kept, SALES_RULE)
+    plan = plan_of(orders)
+    join = plan[plan.index("SortMergeJoin [transaction_id"):]
+    assert "Bucketed: true" in join and "hashpartitioning(transaction_id" not in plan
+    assert len(list((tmp_path / "lines").glob("*.parquet"))) == 8
+    plain = sales_order(tables, SALES_RULE)
+    assert orders.exceptAll(plain).count() == 0 == plain.exceptAll(orders).count()
