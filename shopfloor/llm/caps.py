@@ -4,10 +4,12 @@ A filter is a direction; a vector passes those it points along closely enough.
 The directions form a product code: the coordinates are cut into blocks, every
 block has a short list of random unit vectors, and each choice of one per block is
 a direction. A vector's filters are therefore found block by block, without
-looking at all directions (list decoding). Several codes, each behind a rotation of
-its own, make the number of filters even. Vectors that share a filter are
-compared exactly. Two vectors at the threshold share a filter with a probability
-that the plan fixes; which pairs are missed depends on chance only.
+looking at all directions (list decoding). How far a vector exceeds the directions
+of a code varies much from vector to vector, so the level of its cap is its own: the
+one that a fixed number of directions exceed. Several codes, each behind a rotation
+of its own, are tried one after the other until the share of pairs at the threshold
+that meet in none is below a bound; that share is sampled when planning. Vectors
+that share a filter are compared exactly.
 """
 
 from __future__ import annotations
@@ -26,10 +28,15 @@ from shopfloor.llm.components import connected_components
 from shopfloor.session import materialize
 
 THRESHOLD = 0.9
-#: Filters that two vectors exactly at the threshold are to have in common on average.
-SHARED = 10.0
+#: Share of pairs exactly at the threshold that may meet in no filter; farther above it fewer do.
+MISSED = 0.002
 BLOCKS = 3
-CODES = 8
+#: Filters that a vector passes in each code.
+KEPT = 8
+#: Pairs sampled when planning, and codes each is tried with.
+SAMPLED, TRIED = 1000, 6
+#: Codes beyond which filters are not made narrower.
+MOST_CODES = 48
 #: Random vectors that a vector is to meet in its filters on average.
 STRANGERS = 2.0
 #: Vectors of one filter compared in one piece; larger filters are compared piece by piece.
@@ -38,34 +45,15 @@ PIECE = 1024
 SMALL = 48
 
 
-def _cap(dims: int, level: float, cosine: float, steps: int = 2000) -> tuple[float, float]:
-    """Share of directions above ``level`` for one vector, and for two at ``cosine`` together."""
-
-    def density(d: int, x: np.ndarray) -> np.ndarray:
-        y = np.maximum(1 - x * x, 0) ** ((d - 3) / 2)
-        return y / np.trapezoid(y, x)
-
-    x = np.linspace(-1, 1, steps)
-    y = np.linspace(-1, 1, steps)
-    inner = density(max(dims - 1, 3), y)
-    above = np.concatenate([np.cumsum((inner * (y[1] - y[0]))[::-1])[::-1], [0.0]])
-    high = np.linspace(level, 1, steps)
-    mass = np.interp(high, x, density(max(dims, 3), x))
-    rest = np.sqrt(np.maximum(1 - high * high, 1e-12)) * math.sqrt(1 - cosine * cosine)
-    needed = (level - cosine * high) / rest
-    both = np.interp(needed, np.append(y, 1.0 + 1e-9), above, left=1.0, right=0.0)
-    return float(np.trapezoid(mass, high)), float(np.trapezoid(mass * both, high))
-
-
 @dataclass(frozen=True)
 class Plan:
-    """Size of the codes and the level from which a vector passes a filter."""
+    """Size and number of the codes, and how many filters of each a vector passes."""
 
     dims: int
     blocks: int
     words: int
     codes: int
-    level: float
+    kept: int = KEPT
     seed: int = 11
 
     def cuts(self) -> list[tuple[int, int]]:
@@ -73,26 +61,48 @@ class Plan:
         return list(zip(edges, edges[1:]))
 
 
-def make_plan(n: int, dims: int, threshold: float = THRESHOLD, shared: float = SHARED, strangers: float = STRANGERS) -> Plan:
+def _pairs(dims: int, cosine: float, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at a cosine, in random directions."""
+    rng = np.random.default_rng(5)
+    one, other = rng.standard_normal((2, n, dims))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (one * other).sum(axis=1, keepdims=True) * one
+    other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-300)
+    return one, cosine * one + math.sqrt(1 - cosine * cosine) * other
+
+
+def miss_rate(plan: Plan, cosine: float, pairs: int = SAMPLED) -> float:
+    """Sampled share of (pair, code) in which the two vectors share no filter."""
+    one, other = (decode(v, plan)[1].reshape(pairs, plan.codes, -1) for v in _pairs(plan.dims, cosine, pairs))
+    return 1 - float((one[..., :, None] == other[..., None, :]).any(axis=(2, 3)).mean())
+
+
+def make_plan(n: int, dims: int, threshold: float = THRESHOLD, missed: float = MISSED, strangers: float = STRANGERS) -> Plan:
     """The codes for ``n`` vectors.
 
-    More vectors need more and narrower filters, or strangers would fill them:
-    the codes grow until a vector meets few of them, while the level follows from
-    the number of filters that similar vectors are to share. The rule is the same
-    at every size.
+    Their number follows from the share of pairs at the threshold that one code
+    misses: codes have rotations of their own, so the shares multiply. More vectors
+    need more and narrower filters, or strangers would fill them: the codes grow
+    until a vector meets few of them, unless filters become too narrow for similar
+    vectors themselves, as they do in few dimensions. The rule is the same at every
+    size.
     """
     blocks = min(BLOCKS, max(1, dims // 2))
-    words = 4
-    while True:
-        filters = CODES * float(words) ** blocks
-        low, high = -1.0, 1.0
-        for _ in range(40):
-            level = (low + high) / 2
-            low, high = (level, high) if filters * _cap(dims, level, threshold)[1] > shared else (low, level)
-        one, _ = _cap(dims, level, threshold)
-        if n * filters * one * one <= strangers or filters > 2.0**60:
-            return Plan(dims, blocks, words, CODES, level)
-        words = math.ceil(words * 1.25)
+
+    def sized(words: int) -> Plan:
+        kept = min(KEPT, words**blocks)
+        # One more miss than seen, so that none seen is not taken for certainty.
+        share = miss_rate(Plan(dims, blocks, words, TRIED, kept), threshold) + 1 / (SAMPLED * TRIED)
+        codes = math.log(missed) / math.log(min(share, 0.999))
+        return Plan(dims, blocks, words, max(1, math.ceil(codes)), kept)
+
+    plan = sized(4)
+    while n * plan.codes * plan.kept**2 / float(plan.words) ** blocks > strangers:
+        narrower = sized(math.ceil(plan.words * 1.5))
+        if narrower.codes > MOST_CODES:
+            break
+        plan = narrower
+    return plan
 
 
 @lru_cache(maxsize=4)
@@ -111,30 +121,25 @@ def _codes(plan: Plan) -> list[tuple[np.ndarray, list[np.ndarray]]]:
 
 
 def decode(vectors: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the vectors, ascending, and of all filters each passes.
+    """Numbers of the vectors, ascending, and of the filters each passes, code by code.
 
-    Block by block, a choice of words is given up as soon as the best words of
-    the blocks to come could not lift it to the level.
+    Block by block, only the choices that are among the best so far go on: the
+    others could not be among the best in the end, whatever the blocks to come add.
     """
-    numbers, filters = [], []
+    filters = []
     for code, (rotation, blocks) in enumerate(_codes(plan)):
         turned = vectors @ rotation
-        products = [turned[:, a:b] @ words.T for (a, b), words in zip(plan.cuts(), blocks)]
-        most = np.stack([p.max(axis=1) for p in products], axis=1)
-        # What the blocks after each one can add at best.
-        to_come = most[:, ::-1].cumsum(axis=1)[:, ::-1] - most
-        number = np.arange(len(vectors))
-        total, chosen = np.zeros(len(vectors)), np.full(len(vectors), code, dtype=np.int64)
-        for block, p in enumerate(products):
-            at, word = np.nonzero(p[number] + (total + to_come[number, block])[:, None] >= plan.level)
-            total = total[at] + p[number[at], word]
-            chosen = chosen[at] * plan.words + word
-            number = number[at]
-        numbers.append(number)
+        total, chosen = np.zeros((len(vectors), 1)), np.full((len(vectors), 1), code, dtype=np.int64)
+        for (a, b), words in zip(plan.cuts(), blocks):
+            products = turned[:, a:b] @ words.T
+            word = np.argpartition(-products, min(plan.kept, plan.words) - 1, axis=1)[:, : plan.kept]
+            total = (total[:, :, None] + np.take_along_axis(products, word, axis=1)[:, None, :]).reshape(len(vectors), -1)
+            chosen = (chosen[:, :, None] * plan.words + word[:, None, :]).reshape(len(vectors), -1)
+            best = np.argpartition(-total, min(plan.kept, total.shape[1]) - 1, axis=1)[:, : plan.kept]
+            total, chosen = np.take_along_axis(total, best, axis=1), np.take_along_axis(chosen, best, axis=1)
         filters.append(chosen)
-    number, filter_ = np.concatenate(numbers), np.concatenate(filters)
-    order = np.argsort(number, kind="stable")
-    return number[order], filter_[order]
+    each = np.concatenate(filters, axis=1) if filters else np.empty((len(vectors), 0), dtype=np.int64)
+    return np.repeat(np.arange(len(vectors)), each.shape[1]), each.ravel()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -149,8 +154,8 @@ def _passed_filters(vectors: DataFrame, plan: Plan) -> DataFrame:
     """``node, filter`` for every filter a vector passes."""
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A vector keeps a few dozen choices at a time, each tried with all words of a block.
-        rows = max(1, min(1024, 200_000 // plan.words))
+        # A vector is tried with all words of a block at a time.
+        rows = max(1, min(1024, 500_000 // plan.words))
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
@@ -288,13 +293,13 @@ def _members(vectors: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, shared: float = SHARED) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, missed: float = MISSED) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``embeddings``.
 
     ``n_links`` counts the other rows found with a cosine of at least
     ``threshold`` in double precision; ``component_id`` is the smallest vec_id
-    that links reach. No link is below the threshold; about one in
-    exp(-``shared``) of those exactly at it is missed, fewer above it.
+    that links reach. No link is below the threshold; of those exactly at it a
+    share of about ``missed`` is not found, of those above it less.
 
     Vectors that are null, empty, zero or hold null or non-finite components link
     with nothing, nor do vectors of different lengths with each other or rows
@@ -318,7 +323,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, shared:
     # One index per length of vector; tables have one.
     lengths = vectors.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()
     for row in sorted(lengths, key=lambda r: r["dims"]):
-        plan = make_plan(row["n"], row["dims"], threshold, shared)
+        plan = make_plan(row["n"], row["dims"], threshold, missed)
         same = vectors.where(F.size("embedding") == row["dims"])
         found.append(materialize(_links(_members(same, plan), threshold), "vector-links"))
     spark = embeddings.sparkSession

@@ -45,7 +45,7 @@ def test_links_are_exact_and_nearly_all_found(spark, monkeypatch, small, piece):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
 
 
-def test_filters_are_all_above_the_level_and_none_else():
+def test_filters_are_the_best_of_every_code():
     plan = caps.make_plan(300, 12)
     rng = np.random.default_rng(1)
     vectors = rng.standard_normal((20, 12))
@@ -57,15 +57,48 @@ def test_filters_are_all_above_the_level_and_none_else():
         parts = [turned[:, a:b] @ words.T for (a, b), words in zip(plan.cuts(), blocks)]
         for v in range(20):
             total = parts[0][v][:, None, None] + parts[1][v][None, :, None] + parts[2][v][None, None, :]
-            for x, y, z in np.argwhere(total >= plan.level):
+            level = np.sort(total.ravel())[-plan.kept]
+            for x, y, z in np.argwhere(total >= level):
                 want.add((v, ((code * plan.words + x) * plan.words + y) * plan.words + z))
     assert set(zip(number.tolist(), filter_.tolist())) == {(v, int(f)) for v, f in want}
-    assert len(number) == len(want)
+    assert len(number) == len(want) == 20 * plan.codes * plan.kept
 
 
 def test_more_vectors_get_narrower_filters():
     plans = [caps.make_plan(n, 64) for n in (10, 10_000, 1_000_000)]
-    assert plans[0].level < plans[1].level < plans[2].level
+    assert plans[0].words < plans[1].words < plans[2].words
+
+
+@pytest.mark.parametrize(("n", "dims"), [(2000, 64), (20_000, 64), (5_000_000, 64), (1_000_000, 256), (10_000, 3)])
+@pytest.mark.parametrize(("low", "high"), [(0.9, 0.91), (0.91, 0.93), (0.93, 0.95)])
+def test_pairs_just_above_the_threshold_meet(n, dims, low, high):
+    """2,000 pairs of each band, other ones than the plan is made from."""
+    plan = caps.make_plan(n, dims)
+    rng = np.random.default_rng(8)
+    one, other = rng.standard_normal((2, 2000, dims))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (one * other).sum(axis=1, keepdims=True) * one
+    cosine = rng.uniform(low, high, (2000, 1))
+    other = cosine * one + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    filters = [caps.decode(v, plan)[1].reshape(2000, -1) for v in (one, other)]
+    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(*filters)]
+    assert np.mean(met) >= 0.99
+
+
+def test_planted_links_near_the_threshold_are_found(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((6000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    twin = rng.standard_normal((2000, 64))
+    twin -= (twin * base[:2000]).sum(axis=1, keepdims=True) * base[:2000]
+    cosine = rng.uniform(0.895, 0.93, (2000, 1))
+    twin = cosine * base[:2000] + np.sqrt(1 - cosine**2) * twin / np.linalg.norm(twin, axis=1, keepdims=True)
+    rows = np.concatenate([base, twin]).astype(np.float32)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in caps.near_duplicates(table(spark, enumerate(rows.tolist()))).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.99 * want.sum() > 3000
 
 
 def test_vectors_that_cannot_link_and_copies(spark):
