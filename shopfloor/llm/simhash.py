@@ -61,6 +61,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fingerprint bigint")
 
 
+def _with_text_hash(docs: DataFrame) -> DataFrame:
+    """Each row named by doc_id and a hash of its text, as one struct in place of doc_id."""
+    name = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("said"))
+    return docs.select(name.alias("doc_id"), "text")
+
+
 def segment_radii(segments: int, radius: int) -> list[int]:
     """How far to look in each segment; -1: not at all.
 
@@ -141,10 +147,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows and columns of ``docs`` whose doc_id is the smallest of their group.
 
-    Of rows that repeat doc_id and text one stays. Rows without a doc_id all stay,
-    for no id could name the one to keep. An empty table gives no rows.
+    Rows that share a doc_id but not the text are different documents; of a group
+    that holds several with the smallest doc_id, the one whose text has the least
+    hash stays. Of rows that repeat doc_id and text one stays. Rows without a
+    doc_id all stay, for no id could name the one to keep. An empty table gives no
+    rows.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return whole.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    named = docs.where("doc_id IS NOT NULL")
+    found = near_duplicates(_with_text_hash(named), shingle, max_bits)
+    kept = found.where("doc_id = component_id").select("doc_id.id", "doc_id.said").distinct()
+    same = (docs["doc_id"] == kept["id"]) & (F.xxhash64(docs["text"]) == kept["said"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))

@@ -84,3 +84,9 @@ def test_groups_of_documents(documents):
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.keep_one(documents([])).count() == 0
+
+
+def test_rows_that_share_a_doc_id_are_kept_by_their_text(documents):
+    rows = [(1, "alpha beta gamma delta"), (2, "one two three four five"), (2, "alpha beta gamma delta"), (2, "one two three four five")]
+    kept = simhash.keep_one(documents(rows))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "alpha beta gamma delta"), (2, "one two three four five")]
