@@ -268,7 +268,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     )
     texts = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
     # At most SAMPLE_TOXIC + SAMPLE_ORDINARY ids.
-    rows = texts.join(F.broadcast(chosen), "doc_id").collect()
+    # One text of each: that of least hash, where a doc_id repeats with different ones.
+    texts = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+    rows = texts.agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).collect()
     # Copies would sit on both sides of the fit.
     texts = {label: sorted({r["text"] for r in rows if r["toxic"] == label}) for label in (0, 1)}
     mixed = {label: [each[i] for i in np.random.default_rng(7).permutation(len(each))] for label, each in texts.items()}
