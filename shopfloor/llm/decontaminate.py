@@ -6,10 +6,12 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shopfloor.llm.memory import tidied
 from shopfloor.session import materialize
 
 WINDOW = 10
@@ -75,7 +77,7 @@ def term_counts(docs: DataFrame, terms: frozenset[bytes]) -> DataFrame:
         names = [t.decode("utf-8", "surrogatepass") for t in total]
         yield pa.record_batch({"term": pa.array(names, pa.string()), "n": pa.array(total.values(), pa.int64())})
 
-    return docs.select("text").mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(count), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def term_postings(docs: DataFrame, listed: frozenset[bytes], numbers: dict[bytes, int], reach: int) -> DataFrame:
@@ -92,30 +94,39 @@ def term_postings(docs: DataFrame, listed: frozenset[bytes], numbers: dict[bytes
         import xxhash
 
         listed, numbers = shared.value
+        chosen = np.zeros(len(numbers) + 1, dtype=bool)
+        chosen[[numbers[word] for word in listed]] = True
+        width = 2 * reach + 1
         # Postings take more room than their texts; a few documents at a time.
         parts = (batch.slice(at, 512) for batch in batches for at in range(0, batch.num_rows, 512))
         for batch in parts:
-            keys, n_words, postings = [], [], []
+            keys, n_words, terms, positions, contexts = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 text = text.as_py()
                 words = words_of(text)
-                found = []
-                for at, word in enumerate(words):
-                    if word in listed:
-                        around = words[max(0, at - reach) : at + reach + 1]
-                        context = [-1] * max(0, reach - at) + [numbers.get(w, -1) for w in around]
-                        context += [-1] * (2 * reach + 1 - len(context))
-                        found.append({"term": numbers[word], "position": at, "context": context})
+                # The last number, one beyond all terms, is that of no term: -1.
+                ids = np.full(len(words) + 2 * reach, -1, dtype=np.int32)
+                ids[reach : reach + len(words)] = [numbers.get(w, -1) for w in words]
+                at = np.flatnonzero(chosen[ids[reach : reach + len(words)]])
                 keys.append(xxhash.xxh3_128_digest(f"{doc_id}\n{text}".encode("utf-8", "surrogatepass")))
                 n_words.append(len(words))
-                postings.append(found)
-            kind = pa.list_(pa.struct([("term", pa.int32()), ("position", pa.int64()), ("context", pa.list_(pa.int32()))]))
+                terms.append(ids[at + reach])
+                positions.append(at)
+                contexts.append(np.lib.stride_tricks.sliding_window_view(ids, width)[at].ravel() if len(at) else ids[:0])
+            sizes = np.cumsum([0, *map(len, terms)]).astype(np.int32)
+            around = pa.ListArray.from_arrays(
+                np.arange(sizes[-1] + 1, dtype=np.int32) * np.int32(width), pa.array(np.concatenate(contexts))
+            )
+            posting = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(terms)), pa.array(np.concatenate(positions).astype(np.int64)), around],
+                names=["term", "position", "context"],
+            )
             yield pa.record_batch(
                 {
                     "key": pa.array(keys, pa.binary()),
                     "doc_id": batch.column("doc_id"),
                     "n_words": pa.array(n_words, pa.int64()),
-                    "postings": pa.array(postings, kind),
+                    "postings": pa.ListArray.from_arrays(pa.array(sizes), posting),
                 }
             )
 
@@ -124,7 +135,10 @@ def term_postings(docs: DataFrame, listed: frozenset[bytes], numbers: dict[bytes
         f"key binary, doc_id {kind}, n_words bigint, "
         "postings array<struct<term: int, position: bigint, context: array<int>>>"
     )
-    return materialize(docs.select("doc_id", "text").mapInArrow(post, schema), "documents-posted")
+    posted = materialize(docs.select("doc_id", "text").mapInArrow(tidied(post), schema), "documents-posted")
+    # The table is written; nothing works it out again.
+    shared.destroy()
+    return posted
 
 
 def inverted_index(posted: DataFrame) -> DataFrame:
@@ -317,6 +331,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
 
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` no window of the benchmark occurs in; rows without doc_id by their text."""
-    hit = contamination(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), items, size)
+
+    def name() -> Column:
+        """128 bits of doc_id and text: two hashes with different seeds."""
+        return F.concat_ws(":", F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "text", "doc_id"))
+
+    hit = contamination(docs.select(name().alias("doc_id"), "text"), items, size)
     bad = hit.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")
+    return docs.withColumn("_name", name()).join(bad, F.col("_name") == F.col("_bad"), "left_anti").drop("_name")

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopfloor.llm.memory import tidied
 from shopfloor.llm.tokens import encoder
 from shopfloor.session import materialize
 
@@ -67,7 +68,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids binary, task int, nth bigint"
-    return materialize(docs.select("doc_id", "text").mapInArrow(cut, schema), "pieces")
+    return materialize(docs.select("doc_id", "text").mapInArrow(tidied(cut), schema), "pieces")
 
 
 # --- the packing of lengths ---------------------------------------------------

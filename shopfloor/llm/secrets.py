@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopfloor.llm.memory import tidied
 from shopfloor.session import materialize
 
 KINDS = ("assign", "access", "hex", "random")
@@ -195,7 +196,7 @@ def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
         "_tested array<struct<start: bigint, end: bigint, evidence: double>>"
     )
     schema = StructType([*texts.schema.fields[: len(keep)], *added.fields])
-    return materialize(texts.mapInArrow(look, schema), "scanned")
+    return materialize(texts.mapInArrow(tidied(look), schema), "scanned")
 
 
 def discovery_level(scanned: DataFrame, share: float = FALSE_SHARE) -> float:
@@ -269,4 +270,4 @@ def redact(docs: DataFrame, share: float = FALSE_SHARE, mark: str = "[SECRET]")
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return scanned.select(*docs.columns, spans.alias("_spans")).mapInArrow(replace, docs.schema)
+    return scanned.select(*docs.columns, spans.alias("_spans")).mapInArrow(tidied(replace), docs.schema)

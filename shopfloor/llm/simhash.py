@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.llm.components import connected_components
+from shopfloor.llm.memory import tidied
 from shopfloor.session import materialize
 
 BITS = 64
@@ -58,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fingerprint bigint")
+    return docs.select("doc_id", "text").mapInArrow(tidied(hashed), f"doc_id {kind}, fingerprint bigint")
 
 
 def _with_text_hash(docs: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopfloor.llm.memory import tidied
+
 #: Bound on the labelled documents looked at, per class, and on the length of each.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 2_000, 4_000, 30_000
 #: Bytes in a window; it ends with the word that passes this length.
@@ -293,7 +295,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(found, pa.float64())})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, score double")
+    found = docs.select("doc_id", "text").mapInArrow(tidied(scored), f"doc_id {kind}, score double")
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -308,4 +310,4 @@ def keep_civil(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             below = [model.score(text.as_py()) < threshold for text in batch.column(at)]
             yield batch.filter(pa.array(below, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(tidied(kept), docs.schema)
