@@ -10,7 +10,6 @@ the matrix within that space, taken about the cluster's mean, tells them apart.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
