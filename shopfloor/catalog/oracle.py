@@ -506,6 +506,61 @@ ORACLE["forecast_latest_rows"] = f"""
     SELECT location_id, trandate, sales, n_lags = 30 AS predicted FROM ({_WINDOWED}) WHERE n = 1
 """
 ORACLE["model_residuals"] = "SELECT CAST(lag AS INT) AS lag, CAST(0 AS DOUBLE) AS residual FROM range(31) t(lag)"
+
+
+def _solved(equations: str) -> str:
+    """Elimination of one column after the other; the last column is the right side."""
+    cell = """CASE WHEN i = k + 1 THEN m[i][j] / m[k + 1][k + 1]
+              ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] END"""
+    return f"""
+    WITH RECURSIVE days AS MATERIALIZED (
+        SELECT *, LIST(scaled) OVER {_BEFORE} AS lags FROM ({_WINDOWED})),
+    training AS MATERIALIZED (
+        SELECT location_id, list_concat([1.0::DOUBLE], lags, [scaled]) AS x FROM days WHERE NOT is_holdout AND n_lags = 30),
+    equations AS ({equations}),
+    steps AS (
+        SELECT location_id, 0 AS k, LIST(cells ORDER BY i) AS m
+        FROM (SELECT location_id, i, LIST(cell ORDER BY j) AS cells FROM equations GROUP BY location_id, i)
+        GROUP BY location_id
+        UNION ALL
+        SELECT location_id, k + 1, list_transform(range(1, len(m) + 1), lambda i:
+            list_transform(range(1, len(m) + 2), lambda j: {cell}))
+        FROM steps WHERE k < len(m)),
+    solved AS (SELECT location_id, list_transform(m, lambda cells: cells[-1]) AS b FROM steps WHERE k = len(m))
+    """
+
+
+_GRID = "range(1, 32) a(i), range(1, 33) b(j)"
+# One model per location: a penalty of a thousandth per window, none on the constant.
+_BY_SERIES = _solved(f"""
+    SELECT location_id, i, j, SUM(x[i] * x[j]) + CASE WHEN i = j AND i > 1 THEN 0.001 * COUNT(*) ELSE 0 END AS cell
+    FROM training, {_GRID} GROUP BY location_id, i, j""")
+# One model for all: lags and label about their means, the penalty in units of the spread of lag and label.
+_POOLED = _solved("""
+    SELECT 0 AS location_id, i, j, covar_pop(x[i + 1], x[j + 1])
+           * CASE WHEN i = j THEN 1 + 1e-4 / (SELECT stddev_pop(x[32]) FROM training) ELSE 1 END AS cell
+    FROM training, range(1, 31) a(i), range(1, 32) b(j) GROUP BY i, j""")
+_OWN = "(list_dot_product(lags, s.b[2:]) + s.b[1]) * span + low"
+_ANY = """(list_dot_product(lags, s.b) + (SELECT AVG(x[32] - list_dot_product(x[2:31], b)) FROM training, solved))
+    * span + low"""
+_OF_SERIES = "days d LEFT JOIN solved s ON d.location_id = s.location_id"
+
+
+def _forecast(solved: str, joined: str, value: str, holdout: bool) -> str:
+    real, predicted, chosen = ("real", "pred", "is_holdout") if holdout else ("sales", "prediction", "n = 1")
+    return f"""{solved}
+    SELECT d.location_id, trandate, sales AS {real}, CASE WHEN n_lags = 30 THEN round({value}, 0) END AS {predicted}
+    FROM {joined} WHERE {chosen}"""
+
+
+ORACLE["forecast_holdout"] = _forecast(_POOLED, "days d, solved s", _ANY, True)
+ORACLE["forecast_latest"] = _forecast(_POOLED, "days d, solved s", _ANY, False)
+ORACLE["series_forecast_holdout"] = _forecast(_BY_SERIES, _OF_SERIES, _OWN, True)
+ORACLE["series_forecast_latest"] = _forecast(_BY_SERIES, _OF_SERIES, _OWN, False)
+ORACLE["series_model_residuals"] = f"""
+    SELECT location_id, CAST(lag AS INT) AS lag, CAST(0 AS DOUBLE) AS residual
+    FROM (SELECT DISTINCT location_id FROM ({_WINDOWED}) WHERE NOT is_holdout AND n_lags = 30), range(31) t(lag)
+"""
 _COMPANY = f"SELECT 'all' AS location_id, trandate, sales FROM ({ORACLE['daily_sales']})"
 ORACLE["company_report"] = f"""
     SELECT location_id AS series, * EXCLUDE (location_id)

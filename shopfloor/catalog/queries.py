@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopfloor import schemas
 from shopfloor.catalog import adapters as A
 from shopfloor.functions import dates, phone, text
-from shopfloor.operators import ads, forecast, inventory, leads, sales, stores, tickets, training
+from shopfloor.operators import ads, forecast, inventory, leads, sales, series_models, stores, tickets, training
 from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
 from shopfloor.sinks import export_sheet, write_bucketed
@@ -538,10 +538,15 @@ def forecast_metrics(spark, folder):
     return forecast.forecast_metrics(predicted, SERIES).withColumn("mse", F.round("mse", 2))
 
 
+def _rounded(predicted: DataFrame, column: str) -> DataFrame:
+    """Predictions in whole units of money, so that the last digits of two solvers agree."""
+    return predicted.withColumn(column, F.round(column, 0) + 0.0)
+
+
 @_register
 def forecast_holdout(spark, folder):
     windows, trained = forecasting.train_forecaster(_series(spark, folder), SERIES)
-    return forecast.forecast_holdout(windows, trained.model, SERIES)
+    return _rounded(forecast.forecast_holdout(windows, trained.model, SERIES), "pred")
 
 
 @_register
@@ -549,7 +554,7 @@ def forecast_latest(spark, folder):
     series = materialize(_series(spark, folder), "daily-series")
     saved = fresh_folder(spark, "forecaster")
     forecasting.train_and_save(series, SERIES, saved)
-    return forecasting.score_latest(spark, series, saved)
+    return _rounded(forecasting.score_latest(spark, series, saved), "prediction")
 
 
 @_register
@@ -575,6 +580,31 @@ def model_residuals(spark, folder):
     )
 
 
+@_register
+def series_forecast_holdout(spark, folder):
+    """Holdout days predicted by the model of their own location."""
+    windows, models = forecasting.train_series_models(_series(spark, folder), SERIES)
+    return _rounded(series_models.predict_holdout(windows, models, SERIES), "pred")
+
+
+@_register
+def series_forecast_latest(spark, folder):
+    """Models of all locations saved, read back and used on the latest day."""
+    series = materialize(_series(spark, folder), "daily-series")
+    saved = fresh_folder(spark, "series-models")
+    forecasting.save_series_models(series, SERIES, saved)
+    return _rounded(forecasting.score_latest_by_series(spark, series, SERIES, saved), "prediction")
+
+
+@_register
+def series_model_residuals(spark, folder):
+    """Every equation of every location's fit holds."""
+    windows, models = forecasting.train_series_models(_series(spark, folder), SERIES)
+    return series_models.series_residuals(windows, models, SERIES).withColumn(
+        "residual", F.round("residual", 6) + 0.0
+    )
+
+
 @_register
 def company_report(spark, folder):
     """The report on the sales of all locations together."""

@@ -240,17 +240,18 @@ def forecast_holdout(windows: DataFrame, model: LinearRegressionModel, keys: Seq
     )
 
 
+def latest_with_lags(series: DataFrame, keys: Sequence[str], lags: int = LAGS) -> DataFrame:
+    """The latest day of each series with the values before it, oldest first, as ``raw``."""
+    before = _by_day(keys).rowsBetween(-lags, -1)
+    return series.withColumns(
+        {"raw": F.collect_list("sales").over(before), "from_end": _from_end(keys)}
+    ).where("from_end = 0")
+
+
 def forecast_latest(series: DataFrame, forecaster: Forecaster, lags: int = LAGS) -> DataFrame:
     """Actual and predicted value of the latest day of each series, by a saved model."""
     keys = forecaster.keys
-    before = _by_day(keys).rowsBetween(-lags, -1)
-    latest = (
-        series.withColumns(
-            {"raw": F.collect_list("sales").over(before), "from_end": _from_end(keys)}
-        )
-        .where("from_end = 0")
-        .join(forecaster.scaler, list(keys), "left")
-    )
+    latest = latest_with_lags(series, keys, lags).join(forecaster.scaler, list(keys), "left")
     scaled = F.transform("raw", lambda x: scale(x, F.col("low"), F.col("high")))
     return predict(latest.withColumn("lags", scaled), forecaster.model, lags).select(
         *keys, "trandate", "sales", "prediction"

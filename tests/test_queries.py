@@ -9,7 +9,7 @@ from shopfloor.catalog.oracle import ORACLE
 from shopfloor.catalog.queries import QUERIES
 from tools.compare import compare, duckdb_views
 
-WITHOUT_SQL = {"forecast_holdout", "forecast_latest"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
