@@ -566,3 +566,63 @@ ORACLE["company_report"] = f"""
     SELECT location_id AS series, * EXCLUDE (location_id)
     FROM ({ORACLE['forecast_report'].replace(_SERIES, _COMPANY)})
 """
+
+# --- corpus ---------------------------------------------------------------------
+
+
+def _words(column: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower(coalesce({column}, '')), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: w <> '')"
+
+
+def _phrases(texts: str, key: str) -> str:
+    """Every phrase of up to four words with its place."""
+    words = f"SELECT {key}, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM (SELECT {key}, {_words('text')} AS w FROM {texts})"
+    phrase, parts = "word", []
+    for n in range(1, 5):
+        parts.append(f"SELECT {key}, p, {n} AS n, w{n} AS phrase FROM grams WHERE w{n} IS NOT NULL")
+    columns = []
+    for n in range(1, 5):
+        columns.append(f"{phrase} AS w{n}")
+        phrase += f" || ' ' || lead(word, {n}) OVER (PARTITION BY {key} ORDER BY p)"
+    return f"WITH grams AS (SELECT {key}, p, {', '.join(columns)} FROM ({words})) {' UNION ALL '.join(parts)}"
+
+
+# The longest listed phrase of each place; then steps take the words from the left.
+_STOP = f"""
+    WITH items AS (SELECT row_number() OVER () AS id, text FROM benchmark),
+    listed AS (
+        SELECT phrase FROM (SELECT DISTINCT id, phrase FROM ({_phrases('items', 'id')}))
+        GROUP BY phrase HAVING COUNT(*) >= 0.05::DOUBLE * (SELECT COUNT(*) FROM benchmark)),
+    places AS MATERIALIZED (
+        SELECT doc_id, p, MAX(phrase) FILTER (n = 1) AS word, MAX(CASE WHEN l.phrase IS NULL THEN 0 ELSE n END) AS n
+        FROM ({_phrases('documents', 'doc_id')}) g LEFT JOIN listed l USING (phrase) GROUP BY doc_id, p),
+    digits AS (SELECT doc_id, string_agg(CAST(n AS VARCHAR), '' ORDER BY p) AS d FROM places GROUP BY doc_id),
+    steps AS MATERIALIZED (
+        SELECT doc_id, CAST(s[1] AS INT) AS n,
+               SUM(len(s)) OVER (PARTITION BY doc_id ORDER BY k) - len(s) + 1 AS p
+        FROM (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS k
+              FROM (SELECT doc_id, regexp_extract_all(d, '4...|3..|2.|[01]') AS l FROM digits))),
+    per_doc AS (
+        SELECT d.doc_id, d.lang, coalesce(len(g.d), 0) AS n_words, coalesce(f.n_phrases, 0) AS n_phrases,
+               coalesce(f.covered, 0) AS covered
+        FROM documents d LEFT JOIN digits g USING (doc_id) LEFT JOIN (
+            SELECT doc_id, COUNT(*) FILTER (n > 0) AS n_phrases, SUM(n) AS covered FROM steps GROUP BY doc_id) f
+            USING (doc_id))
+"""
+ORACLE["stop_phrase_counts"] = f"""{_STOP}
+    SELECT lang, phrase, COUNT(*) AS n
+    FROM steps JOIN ({_phrases('documents', 'doc_id')}) USING (doc_id, p, n) JOIN documents USING (doc_id)
+    GROUP BY lang, phrase
+"""
+ORACLE["stop_phrase_totals"] = f"""{_STOP}
+    SELECT lang, COUNT(*) AS n_docs, CAST(SUM(n_words) AS BIGINT) AS n_words,
+           CAST(SUM(n_phrases) AS BIGINT) AS n_phrases, CAST(SUM(covered) AS BIGINT) AS n_stop_words,
+           CAST(SUM(n_words) - SUM(covered) AS BIGINT) AS n_kept
+    FROM per_doc GROUP BY lang
+"""
+ORACLE["stop_phrases_removed"] = f"""{_STOP}
+    SELECT doc_id, CAST(n_words AS INT) AS n_words, coalesce(k.kept, '') AS kept
+    FROM per_doc LEFT JOIN (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+        FROM steps s JOIN places USING (doc_id, p) WHERE s.n = 0 GROUP BY doc_id) k USING (doc_id)
+"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopfloor import schemas
 from shopfloor.catalog import adapters as A
 from shopfloor.functions import dates, phone, text
-from shopfloor.operators import ads, forecast, inventory, leads, sales, series_models, stores, tickets, training
+from shopfloor.operators import ads, forecast, inventory, leads, phrases, sales, series_models, stores, tickets, training
 from shopfloor.plans import forecasting, loads
 from shopfloor.session import fresh_folder, materialize
 from shopfloor.sinks import export_sheet, write_bucketed
@@ -33,6 +33,7 @@ POST_TYPE = "1-URGENT"
 HOTLINE = "1900"
 SERIES = ("location_id",)
 LEDGER_BUCKETS = 8
+STOP_SHARE = 0.05
 
 QUERIES: dict[str, Query] = {}
 
@@ -614,6 +615,32 @@ def company_report(spark, folder):
     return report.withColumn("prediction", F.round("prediction", 4))
 
 
+# --- corpus ---------------------------------------------------------------------
+
+
+def _stop_matched(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents against the phrases that a twentieth of the benchmark items hold."""
+    listed = phrases.frequent_phrases(A.table(spark, folder, "benchmark"), STOP_SHARE)
+    return phrases.match_phrases(A.table(spark, folder, "documents").select("doc_id", "lang", "text"), listed)
+
+
+@_register
+def stop_phrase_counts(spark, folder):
+    return phrases.phrase_counts(_stop_matched(spark, folder), ("lang",))
+
+
+@_register
+def stop_phrase_totals(spark, folder):
+    return phrases.word_totals(_stop_matched(spark, folder), ("lang",))
+
+
+@_register
+def stop_phrases_removed(spark, folder):
+    return _stop_matched(spark, folder).select(
+        "doc_id", F.size("words").alias("n_words"), F.array_join("kept", " ").alias("kept")
+    )
+
+
 # --- loads ----------------------------------------------------------------------
 
 
