@@ -15,7 +15,8 @@ from shopfloor import schemas
 from shopfloor.operators import inventory, sales
 from shopfloor.operators.align import lower_names
 from shopfloor.plans import forecasting, loads
-from shopfloor.session import materialize
+from shopfloor.session import materialize, working_tables
+from shopfloor.sinks.versions import publish
 from shopfloor.sources import (
     jdbc_options,
     read_csv,
@@ -125,9 +126,10 @@ def daily_stock_load(
     rule: inventory.StockRule = inventory.StockRule(),
 ) -> None:
     """The stock snapshot by the days that are new since the last run."""
-    loads.carry_stock_snapshot(
-        spark, ledger("transaction_lines"), ledger("transactions"), as_of, target, rule
-    )
+    with working_tables(spark):
+        loads.carry_stock_snapshot(
+            spark, ledger("transaction_lines"), ledger("transactions"), as_of, target, rule
+        )
 
 
 def sheet_exports(shop: Reader, landing: Reader, post_type: str, target: str) -> dict[str, int]:
@@ -151,6 +153,32 @@ def train_sales_forecast(
     return forecasting.train_and_save(series, keys, state)
 
 
+def train_series_forecasts(
+    spark: SparkSession,
+    ledger: Reader,
+    state: str,
+    target: str,
+    rule: sales.SalesRule = sales.SalesRule(),
+    keys: tuple[str, ...] = ("location_id",),
+) -> None:
+    """Fit one model per series, save them, and replace the holdout predictions in ``target``."""
+    with working_tables(spark):
+        series = materialize(sales.daily_sales(read_ledger(ledger), rule, keys), "daily-series")
+        publish(spark, target, forecasting.save_series_models(series, keys, state).write.parquet)
+
+
+def score_series_forecasts(
+    spark: SparkSession,
+    ledger: Reader,
+    state: str,
+    rule: sales.SalesRule = sales.SalesRule(),
+    keys: tuple[str, ...] = ("location_id",),
+) -> DataFrame:
+    """Actual and predicted sales of the latest day, each series by its own saved model."""
+    series = sales.daily_sales(read_ledger(ledger), rule, keys)
+    return forecasting.score_latest_by_series(spark, series, keys, state)
+
+
 def score_sales_forecast(
     spark: SparkSession,
     ledger: Reader,

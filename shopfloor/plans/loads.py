@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -86,13 +86,21 @@ def load_warehouse(spark: SparkSession, folder: str, tables: Mapping[str, Load])
 
 @dataclass(frozen=True)
 class LeadFiles:
-    """Landed CSV files of the funnel."""
+    """Landed CSV files of the funnel.
+
+    ``one_line`` names the files without a line break inside a cell; many tasks
+    read such a file, one task each of the others.
+    """
 
     messages: str
     ad_forms: str
     partner_forms: str
     second_partner_forms: str
     shop_forms: str
+    one_line: tuple[str, ...] = ()
+
+    def read(self, spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
+        return read_csv(spark, getattr(self, name), columns, quoted_breaks=name not in self.one_line)
 
 
 def lead_funnel(
@@ -105,8 +113,8 @@ def lead_funnel(
 ) -> DataFrame:
     """All lead sources, from landed files and the two call tables, as one table; see ``lead_rows``."""
 
-    def forms(path: str, *extra: str) -> DataFrame:
-        df = read_csv(spark, path, ["Date", "Name", "Phone", "Email", *extra])
+    def forms(name: str, *extra: str) -> DataFrame:
+        df = files.read(spark, name, ["Date", "Name", "Phone", "Email", *extra])
         moment = parse_month_first(F.col("Date"))
         return df.select(
             moment.alias("Date"), "Name", "Phone", "Email", *extra, leads.unreadable(F.col("Date"), moment)
@@ -114,11 +122,11 @@ def lead_funnel(
 
     return leads.lead_union(
         calls=leads.hotline_calls(hotline_calls, hotline),
-        messages=read_csv(spark, files.messages, list(MESSAGE_HEADERS)).withColumnsRenamed(MESSAGE_HEADERS),
-        ad_forms=forms(files.ad_forms),
-        partner_forms=forms(files.partner_forms, "Gclid"),
-        second_partner_forms=forms(files.second_partner_forms, "Gclid"),
-        shop_forms=read_csv(spark, files.shop_forms, schemas.SHOP_FORM_CSV.names),
+        messages=files.read(spark, "messages", list(MESSAGE_HEADERS)).withColumnsRenamed(MESSAGE_HEADERS),
+        ad_forms=forms("ad_forms"),
+        partner_forms=forms("partner_forms", "Gclid"),
+        second_partner_forms=forms("second_partner_forms", "Gclid"),
+        shop_forms=files.read(spark, "shop_forms", schemas.SHOP_FORM_CSV.names),
         desk_calls=desk_calls,
         problems=problems,
     )

@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from pathlib import Path
 
@@ -56,9 +59,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+# Folders made inside the innermost scope of the running thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never one that exists already."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the working folders made inside when the scope ends, by an error too.
+
+    What has been read from them must be written or counted by then: a frame that is
+    returned from the scope and run later finds its tables gone. Scopes nest.
+    """
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(outer)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

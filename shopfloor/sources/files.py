@@ -15,17 +15,21 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, quoted_breaks: bool = True
+) -> DataFrame:
     """CSV with a header line, all or some of its columns, every one as text.
 
     Parsing dates and numbers is left to the caller, so a phone keeps its
     leading 0 and no pass over the data is spent on guessing types. Files whose
     header differs from the first one are an error, not silently shifted. A quoted
     cell may hold line breaks and doubled quotes; a backslash is a letter like any
-    other; an empty cell is null, quoted or not. A file is therefore read by one task, and large inputs come in files.
+    other; an empty cell is null, quoted or not. A file is therefore read by one task,
+    and large inputs come in files. Where no cell holds a line break, ``quoted_breaks=False``
+    lets Spark cut a file at its lines and many tasks read it.
     """
     df = spark.read.option("enforceSchema", False).csv(
-        path, header=True, inferSchema=False, multiLine=True, escape='"'
+        path, header=True, inferSchema=False, multiLine=quoted_breaks, escape='"'
     )
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 

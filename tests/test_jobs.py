@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from shopfloor.operators import inventory, sales
 from shopfloor.plans import jobs
 from shopfloor.plans import loads as nightly
 from shopfloor.plans.loads import LeadFiles
-from shopfloor.sinks import read_current
+from shopfloor.session import shared_folder
+from shopfloor.sinks import current, read_current
 
 T = datetime(2021, 3, 4, 5, 6)
 
@@ -145,5 +147,19 @@ def test_forecast_jobs(spark, read, tmp_path):
     assert latest[0]["prediction"] is not None
 
 
+def test_forecast_jobs_per_series_leave_no_working_tables(spark, read, tmp_path):
+    state, target, shared = str(tmp_path / "state"), str(tmp_path / "holdout"), Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    jobs.train_series_forecasts(spark, read, state, target)
+    assert set(shared.iterdir()) == before
+    held = spark.read.parquet(current(spark, target))
+    assert held.groupBy("location_id").count().orderBy("location_id").collect() == [(7, 40), (8, 40)]
+    latest = jobs.score_series_forecasts(spark, read, state).orderBy("location_id").collect()
+    assert [r["location_id"] for r in latest] == [7, 8]
+    # All 40 days of the second location are held out, so it has no model.
+    assert sales.daily_sales(jobs.read_ledger(read), series_keys=("location_id",)).where("location_id = 8").count() == 40
+    assert [r["prediction"] is None for r in latest] == [False, True]
+
+
 def test_default_rules_name_the_same_accounts_once():
     assert len(set(sales.REVENUE_ACCOUNTS)) == 12 and len(set(inventory.STOCK_ACCOUNTS)) == 5

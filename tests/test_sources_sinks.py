@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import csv
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,52 @@ def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
         read_csv(spark, str(tmp_path)).collect()
 
 
+def test_a_csv_file_without_breaks_is_read_by_many_tasks(spark, tmp_path, rows):
+    lines = [f'{i},"a ""b"", {i}",0{i}' for i in range(20_000)]
+    (tmp_path / "a.csv").write_text("id,Name,Phone\n" + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        whole = read_csv(spark, str(tmp_path / "a.csv"))
+        cut = read_csv(spark, str(tmp_path / "a.csv"), quoted_breaks=False)
+        assert whole.rdd.getNumPartitions() == 1 and cut.rdd.getNumPartitions() > 4
+        assert rows(cut) == rows(whole) and cut.count() == 20_000
+        # The header line is left out once, whichever task reads it.
+        assert cut.where("id = 'id'").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lead_files_name_the_sources_that_can_be_cut(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Date,Name\n1/2/2020,"an\nbinh"\n')
+    path = str(tmp_path / "a.csv")
+    files = loads.LeadFiles(path, path, path, path, path, one_line=("ad_forms",))
+    assert files.read(spark, "messages", ["Name"]).collect() == [("an\nbinh",)]
+    assert files.read(spark, "ad_forms", ["Name"]).count() == 2
+
+
+def test_working_tables_go_with_their_scope(spark, tmp_path):
+    def folders():
+        return {p.name for p in Path(session.shared_folder(spark)).iterdir() if p.name.startswith("scoped")}
+
+    outside = session.materialize(spark.range(3), "scoped")
+    kept = folders()
+    with session.working_tables(spark):
+        first = session.materialize(spark.range(5), "scoped")
+        with session.working_tables(spark):
+            session.materialize(spark.range(2), "scoped")
+            assert len(folders()) == len(kept) + 2
+        assert first.count() == 5 and len(folders()) == len(kept) + 1
+        session.fresh_folder(spark, "scoped-unused")
+    assert folders() == kept and outside.count() == 3
+    with pytest.raises(RuntimeError), session.working_tables(spark):
+        session.materialize(spark.range(2), "scoped")
+        raise RuntimeError
+    assert folders() == kept
+    session.materialize(spark.range(1), "scoped")
+    assert len(folders()) == len(kept) + 1
+
+
 def test_sheets_and_preview(spark, tmp_path, rows):
     for name, body in {"Data": "Comp,Mall\na,M1\n", "Dim": "Location,Likes\nM1,5\n"}.items():
         (tmp_path / name).mkdir()
