@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -62,15 +64,20 @@ def _replace(spark: SparkSession, path: str, load: Load) -> int:
 def load_warehouse(spark: SparkSession, folder: str, tables: Mapping[str, Load]) -> DataFrame:
     """Replace every table below ``folder``: ``(table, n_rows, n_cols, n_bad, n_repeated)``.
 
-    Each table is switched as a whole once it is written. Rows and columns are read
+    Each table is switched as a whole once it is written. The tables are written side
+    by side, so that the last tasks of one do not keep the cluster from the next; if
+    one fails, its old version stays, the others are still switched, and then the
+    error is raised. Rows and columns are read
     back from the current versions (footers only, not thrown off by tasks that ran
     twice); ``n_bad`` rows had a problem and are found as the part ``rejected`` of
     their table; ``n_repeated`` keys occur more than once (null: no key is named).
     """
 
-    def audit(name: str, load: Load) -> DataFrame:
+    def replace(name: str) -> int:
+        return _replace(spark, f"{folder}/{name}", tables[name])
+
+    def audit(name: str, load: Load, bad: int) -> DataFrame:
         path = f"{folder}/{name}"
-        bad = _replace(spark, path, load)
         rows = read_current(spark, path, load.schema)
         repeated = F.lit(None).cast("bigint")
         if load.key:
@@ -81,7 +88,10 @@ def load_warehouse(spark: SparkSession, folder: str, tables: Mapping[str, Load])
             F.lit(bad).cast("bigint").alias("n_bad"), repeated.alias("n_repeated"),
         )
 
-    return reduce(DataFrame.unionAll, [audit(name, load) for name, load in tables.items()])
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(replace), name) for name in tables]
+    rejected = [done.result() for done in running]
+    return reduce(DataFrame.unionAll, [audit(*item, bad) for item, bad in zip(tables.items(), rejected)])
 
 
 @dataclass(frozen=True)

@@ -88,16 +88,17 @@ def write_parts(df: DataFrame, folder: str, problem: str | None = None, day: str
     together by part and day first, so each task writes few files; ``rebalance``
     cuts heavy days into several files and merges light ones.
     """
-    if problem:
+    if not problem:
+        # One part: its folder is named outright, so nothing is sorted or dealt by it.
+        target, folders = f"{folder}/part={ROWS}", [day] if day else []
+    else:
         parts = F.when(F.col(problem).isNotNull(), F.array(F.lit(ROWS), F.lit(REJECTED))).otherwise(F.array(F.lit(ROWS)))
         df = df.withColumn("part", F.explode(parts))
         df = df.withColumn(problem, F.when(F.col("part") == REJECTED, F.col(problem)))
-    else:
-        df = df.withColumn("part", F.lit(ROWS))
-    folders = ["part", *([day] if day else [])]
-    if problem or day:
+        target, folders = folder, ["part", *([day] if day else [])]
+    if folders:
         df = df.hint("rebalance", *[F.col(c) for c in folders])
-    df.write.option("compression", "snappy").partitionBy(*folders).parquet(folder)
+    df.write.option("compression", "snappy").partitionBy(*folders).parquet(target)
 
 
 def read_version(spark: SparkSession, folder: str, schema: StructType, part: str = ROWS) -> DataFrame:
