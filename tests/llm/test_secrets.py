@@ -111,3 +111,41 @@ def test_keys_in_paths_are_masked(documents):
     assert {r["text"] for r in secrets.redact(docs).collect()} == {
         "go to /reset-password/[SECRET]", "go to /reset-password/with_the_usual_form/of+words"
     }
+
+
+@pytest.mark.parametrize("keys", [0, 3, 40, 400])
+def test_discovery_level_is_that_of_the_plain_rule(spark, keys):
+    """Benjamini-Hochberg by its definition, on sorted p-values of every string."""
+    rng = random.Random(keys)
+    steps = [int(rng.expovariate(1) / secrets.STEP / 3) for _ in range(2000)] + [rng.randint(40, 160) for _ in range(keys)]
+    tested = [s * secrets.STEP for s in steps]
+    ps = sorted(10 ** -e for e in tested)
+    # All up to the last p-value under the line, those above it in between included.
+    passed = max((i for i, p in enumerate(ps, 1) if p < 1 and p * len(ps) <= secrets.FALSE_SHARE * i), default=0)
+    rows = [([(0, 1, e) for e in tested[at : at + 7]],) for at in range(0, len(tested), 7)]
+    scanned = spark.createDataFrame([*rows, ([],)], "_tested array<struct<start: bigint, end: bigint, evidence: double>>")
+    level = secrets.discovery_level(scanned)
+    assert (passed > 0) == (level < float("inf")) == (keys > 0)
+    assert sum(e >= level - secrets.STEP / 2 for e in tested) == passed
+
+
+#: A little below the measured share of keys whose evidence reaches 3 and 5: short keys cannot look much less like writing.
+RECALL = {
+    ("0123456789abcdef", 40): (0.95, 0.75),
+    ("0123456789abcdef", 64): (0.98, 0.98),
+    (string.ascii_uppercase + "234567", 40): (0.84, 0.40),
+    (string.ascii_uppercase + "234567", 64): (0.98, 0.97),
+    (LETTERS[:-2], 24): (0.83, 0.14),
+    (LETTERS[:-2], 32): (0.97, 0.79),
+    (LETTERS[:-2], 40): (0.98, 0.97),
+    (LETTERS, 40): (0.98, 0.97),
+    (LETTERS[:-2] + "-_", 40): (0.98, 0.97),
+}
+
+
+@pytest.mark.parametrize(("alphabet", "length"), list(RECALL))
+def test_recall_of_drawn_keys(alphabet, length):
+    rng = random.Random(length)
+    found = [secrets.evidence("".join(rng.choices(alphabet, k=length))) for _ in range(1000)]
+    weak, strong = RECALL[alphabet, length]
+    assert sum(e >= 3 for e in found) >= weak * 1000 and sum(e >= 5 for e in found) >= strong * 1000
