@@ -40,14 +40,14 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], dtype="<u4").tobytes()
+        encode_all, end = encoder(tokenizer).encode_all, np.array([end_id], dtype="<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = []
-                for row, text in enumerate(part.column("text")):
-                    ids = encode(text.as_py()) + end
+                for row, encoded in enumerate(encode_all(part.column("text"))):
+                    ids = encoded + end
                     n = len(ids) // 4
                     starts = piece_starts(n, capacity)
                     for piece, (start, stop) in enumerate(zip(starts, [*starts[1:], n])):

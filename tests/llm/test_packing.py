@@ -40,6 +40,23 @@ def test_forgetting_changes_no_ids(monkeypatch):
     assert np.frombuffer(encoder.encode(text) + encoder.encode(text), "<u4").tolist() == direct(PATH, text) * 2
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_together_equal_each_alone(name, monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER", 4)
+    path = public_tokenizers.path(name)
+    texts = [*ODD, None, "Ends. with, marks: x", " ".join(ODD)]
+    got = tokens.WordEncoder(path).encode_all(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [direct(path, text or "") for text in texts]
+    assert tokens.WordEncoder(path).encode_all([]) == []
+
+
+def test_a_word_is_remembered_once():
+    encoder = tokens.WordEncoder(PATH)
+    encoder.encode_all(["so one, two one. one (one)\nthree one"])
+    assert {"one", "one,", "two", "one.", "three"} & set(encoder._words) >= {"one", "one,", "two", "one."}
+    assert not [piece for piece in encoder._pieces if piece[:1] == " " and piece[1:].isalpha()]
+
+
 def test_only_the_first_piece_is_short():
     assert packing.piece_starts(3, 4) == [0]
     assert packing.piece_starts(4, 4) == [0]
