@@ -148,19 +148,31 @@ def first_of_day(calls: DataFrame) -> DataFrame:
     )
 
 
+def _hashed(small: DataFrame) -> DataFrame:
+    """Asks for a hash join on ``small`` unless Spark may broadcast it.
+
+    Sorting both sides would take memory for all rows a task gets; this takes it
+    for the smaller side alone.
+    """
+    most = small.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return small if size <= most else small.hint("shuffle_hash")
+
+
 def post_meta(posts: DataFrame, meta: DataFrame, post_type: str) -> DataFrame:
     """Posts of one type with each of their meta values; posts without any survive once.
 
     Written as matches plus posts without a match. An outer join could neither
     broadcast the few chosen posts nor split one post with very many values;
     the inner join can do both. The unmatched part reads only the ids of values,
-    cut to those of chosen posts before they are made distinct.
+    cut to those of chosen posts before they are made distinct. Posts too many to
+    broadcast are hashed, so that no task sorts its meta values.
     """
     chosen = posts.where(F.col("post_type") == post_type).select(
         "ID", F.col("post_name").alias("telephone"), day_text(F.col("post_date")).alias("post_date")
     )
     values = meta.select(F.col("post_id").alias("ID"), F.col("meta_value").alias("data"))
-    matched = chosen.join(values, "ID")
-    with_meta = values.select("ID").join(chosen.select("ID"), "ID", "left_semi").distinct()
-    unmatched = chosen.join(with_meta, "ID", "left_anti").withColumn("data", F.lit(None).cast("string"))
+    matched = _hashed(chosen).join(values, "ID")
+    with_meta = values.select("ID").join(_hashed(chosen.select("ID")), "ID", "left_semi").distinct()
+    unmatched = chosen.join(_hashed(with_meta), "ID", "left_anti").withColumn("data", F.lit(None).cast("string"))
     return matched.unionByName(unmatched).select("ID", "telephone", "data", "post_date")

@@ -118,6 +118,23 @@ def test_post_meta(spark, rows):
     ]
 
 
+def test_post_meta_sorts_no_values(spark, rows):
+    """Where posts are too many to broadcast, they are hashed."""
+    posts = spark.createDataFrame([(i, f"09{i % 7}", "gift" if i % 5 else "page", T) for i in range(50)], S.POSTS)
+    meta = spark.createDataFrame([(i % 40, f"v{i}") for i in range(200)], S.POST_META)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    wanted = rows(post_meta(posts, meta, "gift"))
+    spark.conf.set(key, "-1")
+    try:
+        found = post_meta(posts, meta, "gift")
+        plan = plan_of(found)
+        assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 3
+        assert rows(found) == wanted and len(wanted) == 168
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_dates(spark):
     values = ["31/12/2020", "1/2/2020", "2020-13-01", "31/2/2020", None]
     df = spark.createDataFrame([(v,) for v in values], "d string")
